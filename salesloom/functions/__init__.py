@@ -9,7 +9,7 @@ from salesloom.functions.columns import (
     season_number,
     whole,
 )
-from salesloom.functions.quantiles import exact_quantiles, padded_sorted, quantile_at
+from salesloom.functions.quantiles import exact_quantiles, padded_sorted
 
 __all__ = [
     "absolute_percentage_error",
@@ -20,7 +20,6 @@ __all__ = [
     "month_start",
     "non_negative",
     "padded_sorted",
-    "quantile_at",
     "ratio",
     "season_number",
     "whole",

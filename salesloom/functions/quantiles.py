@@ -20,16 +20,6 @@ def padded_sorted(values: Column, size: int) -> Column:
     return F.sort_array(F.concat(values, F.array_repeat(F.lit(0.0), missing)))
 
 
-def quantile_at(ordered: Column, size: int, percent: int | Column) -> Column:
-    """Interpolated quantile of a column made by :func:`padded_sorted`; NULL for no array."""
-    percent = F.lit(percent) if isinstance(percent, int) else percent
-    position = percent / F.lit(100) * F.lit(size - 1)
-    low = F.floor(position).cast("int")
-    first = F.get(ordered, low)
-    second = F.get(ordered, F.least(low + 1, F.lit(size - 1)))
-    return first + (second - first) * (position - low)
-
-
 def exact_quantiles(
     df: DataFrame,
     column: str,

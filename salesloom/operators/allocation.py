@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesloom.context import (
@@ -19,8 +19,7 @@ from salesloom.context import (
     PlanContext,
     entire_levels,
 )
-from salesloom.functions import ratio
-from salesloom.functions.quantiles import padded_sorted, quantile_at
+from salesloom.functions import padded_sorted
 from salesloom.operators.stretch import (
     STAGES,
     band_of,
@@ -28,17 +27,20 @@ from salesloom.operators.stretch import (
     current_share,
     is_big,
     raised_share,
+    stage_value,
     stretched,
+    total_of,
     with_levels,
     with_own_level,
     with_plan,
 )
 from salesloom.session import stage
 
-QUANTILES = list(range(30, 80))
+FIRST_QUANTILE, LAST_QUANTILE = 30, 79
 YEAR_MONTHS = 13
-SUM_TYPE = "decimal(28,9)"
 KEY = ("sale_loc", "level")
+LATE_STAGES = ("quantile", "big_last", "failed")
+DECISION = (*KEY, "plan", "stage", "factor", "stop_band", "stop_quantile")
 
 
 def client_year(history: DataFrame, ctx: PlanContext) -> DataFrame:
@@ -55,151 +57,129 @@ def client_year(history: DataFrame, ctx: PlanContext) -> DataFrame:
     )
 
 
-def client_quantiles(year: DataFrame) -> DataFrame:
-    """Quantiles .30 to .79 of each client's year, one row each."""
-    found = F.array(
-        *[F.struct(F.lit(q).alias("q"), _own_quantile(q).alias("quantile")) for q in QUANTILES]
-    )
-    return year.select("segment", F.inline(found))
+def _own_quantile(percent: str) -> str:
+    """Linear-interpolated quantile of the client's year; NULL for a client without one."""
+    position = f"({percent} / 100 * {YEAR_MONTHS - 1})"
+    low = f"int(floor({position}))"
+    first, second = f"get(ordered, {low})", f"get(ordered, least({low} + 1, {YEAR_MONTHS - 1}))"
+    return f"({first} + ({second} - {first}) * ({position} - {low}))"
 
 
-def _own_quantile(percent: int | Column) -> Column:
-    return quantile_at(F.col("ordered"), YEAR_MONTHS, percent)
+def _every_quantile() -> str:
+    return f"explode(sequence({FIRST_QUANTILE}, {LAST_QUANTILE})) as q"
 
 
-def _add(value: Column) -> Column:
-    return F.sum(value.cast(SUM_TYPE))
+def client_quantiles(year: DataFrame) -> DataFrame:
+    """Quantiles .30 to .79 of each client's year, one row each."""
+    return year.select("segment", "ordered", F.expr(_every_quantile())).select(
+        "segment", "q", F.expr(_own_quantile("q")).alias("quantile")
+    )
 
 
 def _lifted(rows: DataFrame) -> DataFrame:
     """Values every stage before the quantiles needs: shares, upper band and lifted target."""
-    share = current_share(F.col("target"), F.col("soz"))
     return (
-        rows.withColumn("share", share)
-        .withColumn("base_share", raised_share(F.col("share"), "to_25"))
-        .withColumn("base", F.col("base_share") * F.col("soz"))
-        .withColumn("band", band_of(F.col("base_share")))
+        rows.withColumn("share", F.expr(current_share("target")))
+        .withColumn("base_share", F.expr(raised_share("share", "to_25")))
+        .withColumns({"base": F.expr("base_share * soz"), "band": F.expr(band_of("base_share"))})
         .withColumn(
             "top_share",
-            F.when(F.col("band").isNotNull(), band_start(F.col("band")) + F.col("lvl.band_step")).otherwise(
-                F.col("base_share")
-            ),
+            F.expr(f"if(band is not null, {band_start('band')} + lvl.band_step, base_share)"),
         )
-        .withColumn("top", F.col("top_share") * F.col("soz"))
+        .withColumn("top", F.expr("top_share * soz"))
     )
 
 
-def _stage_value(step: str, strict_bands: bool) -> Column:
-    return raised_share(F.col("share"), step, strict_bands) * F.col("soz")
-
-
 def _first_decisions(rows: DataFrame, strict_bands: bool) -> DataFrame:
     """Stage reached by each branch and level without quantiles; NULL where none passes.
 
     Rows are summed per (branch, level, upper band): at most 75 rows per branch and level, with
     partial sums on the map side, so the size of a branch does not matter.
     """
-    t, top = F.col("target"), F.col("top")
+    added = {
+        "total": "target",
+        "big": f"if({is_big('target', 'share')}, target, null)",
+        "base_total": "base",
+        "top_total": "top",
+        "top_big": f"if({is_big('top', 'top_share')}, top, null)",
+    } | {f"sum_{s}": stage_value(s, strict_bands) for s in STAGES}
     cells = (
         _lifted(rows)
-        .groupBy(*KEY, "plan", F.col("lvl.big_gap").alias("big_gap"), F.coalesce("band", F.lit(0)).alias("band"))
+        .groupBy(*KEY, "plan", F.expr("lvl.big_gap as big_gap"), F.expr("coalesce(band, 0) as band"))
         .agg(
-            _add(t).alias("total"),
-            _add(F.when(is_big(t, F.col("share")), t)).alias("big"),
-            *[_add(_stage_value(s, strict_bands)).alias(f"sum_{s}") for s in STAGES],
-            _add(F.col("base")).alias("base_total"),
-            _add(top - F.col("base")).alias("gain"),
-            _add(top).alias("top_total"),
-            _add(F.when(is_big(top, F.col("top_share")), top)).alias("top_big"),
+            *[F.expr(f"{total_of(value)} as {name}") for name, value in added.items()],
+            F.expr(f"{total_of('top - base')} as gain"),
         )
     )
     branch = Window.partitionBy(*KEY)
     upto = F.sum("base_total").over(branch) + F.sum("gain").over(branch.orderBy("band"))
-    cells = cells.withColumn("upto", upto)
-    passing = (F.col("band") > 0) & (F.col("upto").cast("double") > F.col("plan"))
-    names = ["total", "big", "base_total", "top_total", "top_big"] + [f"sum_{s}" for s in STAGES]
-    sums = cells.groupBy(*KEY, "plan", "big_gap").agg(
-        *[F.coalesce(F.sum(n).cast("double"), F.lit(0.0)).alias(n) for n in names],
-        F.min(F.when(passing, F.struct("band", F.col("upto").cast("double").alias("upto")))).alias("stop"),
+    sums = (
+        cells.withColumn("upto", upto.cast("double"))
+        .groupBy(*KEY, "plan", "big_gap")
+        .agg(
+            *[F.expr(f"coalesce(double(sum({name})), 0D) as {name}") for name in added],
+            F.expr("min(if(band > 0 and upto > plan, struct(band, upto), null)) as stop"),
+        )
     )
-    plan, total = F.col("plan"), F.col("total")
-    gap = ratio(plan - total, F.col("big"))
-    step = F.when((gap > 0) & (gap < BIG_CLIENT_GAP), F.lit("big_init"))
-    factor = F.when(F.col("stage") == "big_init", gap)
-    step = step.when(ratio(plan, total) < 1, F.lit("scale"))
-    factor = factor.when(F.col("stage") == "scale", ratio(plan, total))
-    for s in STAGES:
-        step = step.when(F.col(f"sum_{s}") > plan, F.lit(s))
-        factor = factor.when(F.col("stage") == s, ratio(plan - total, F.col(f"sum_{s}") - total))
-    base = F.col("base_total")
-    step = step.when(F.col("stop").isNotNull(), F.lit("bands"))
-    factor = factor.when(F.col("stage") == "bands", ratio(plan - base, F.col("stop.upto") - base))
-    short = F.lit(1.0) - ratio(F.col("top_total"), plan)
-    step = step.when(short <= F.col("big_gap"), F.lit("big_finish"))
-    factor = factor.when(
-        F.col("stage") == "big_finish", ratio(plan - F.col("top_total"), F.col("top_big"))
+    gap = "try_divide(plan - total, big)"
+    short = "1D - try_divide(top_total, plan)"
+    rules = {
+        "big_init": (f"{gap} > 0 and {gap} < {BIG_CLIENT_GAP!r}D", gap),
+        "scale": ("try_divide(plan, total) < 1", "try_divide(plan, total)"),
+        **{
+            s: (f"sum_{s} > plan", f"try_divide(plan - total, sum_{s} - total)") for s in STAGES
+        },
+        "bands": ("stop is not null", "try_divide(plan - base_total, stop.upto - base_total)"),
+        "big_finish": (f"{short} <= big_gap", "try_divide(plan - top_total, top_big)"),
+    }
+    decided = _by_rules(sums, rules)
+    return decided.selectExpr(
+        *DECISION[:5], "stop.band as stop_band", "cast(null as int) as stop_quantile", "big_gap", "top_total"
     )
-    return sums.withColumn("stage", step).select(
-        *KEY,
-        "plan",
-        "stage",
-        factor.alias("factor"),
-        F.col("stop.band").alias("stop_band"),
-        F.lit(None).cast("int").alias("stop_quantile"),
-        "big_gap",
-        "top_total",
+
+
+def _by_rules(sums: DataFrame, rules: dict[str, tuple[str, str]]) -> DataFrame:
+    """First rule whose test holds, and its stretch factor."""
+    tests = " ".join(f"when {test} then '{name}'" for name, (test, _) in rules.items())
+    factors = " ".join(f"when '{name}' then {factor}" for name, (_, factor) in rules.items())
+    return sums.withColumn("stage", F.expr(f"case {tests} end")).withColumn(
+        "factor", F.expr(f"case stage {factors} end")
     )
 
 
-def _uplifted(percent: int | Column) -> Column:
+def _uplifted(percent: str) -> str:
     """Lifted target raised to the client's own quantile; zero and low targets stay."""
-    top = F.col("top")
-    return (
-        F.when(top == 0.0, F.lit(0.0))
-        .when(top == FIXED_LOW_TARGET, F.lit(FIXED_LOW_TARGET))
-        .otherwise(F.greatest(top, _own_quantile(percent)))
-    )
+    return f"(case when top in (0D, {FIXED_LOW_TARGET!r}D) then top else greatest(top, {_own_quantile(percent)}) end)"
 
 
 def _quantile_decisions(rows: DataFrame, undecided: DataFrame, years: DataFrame) -> DataFrame:
     """Decisions of the branches that no earlier stage brought to the plan."""
-    final = _uplifted(QUANTILES[-1])
-    keyed = undecided.select(*KEY, "big_gap", "top_total")
-    sums = (
-        _lifted(rows.join(keyed, list(KEY)))
+    raised = (
+        _lifted(rows.join(undecided.select(*KEY, "big_gap", "top_total"), list(KEY)))
         .join(years, "segment", "left")
-        .groupBy(*KEY, "plan", "big_gap", "top_total")
-        .agg(
-            *[_add(_uplifted(q)).cast("double").alias(f"q{q}") for q in QUANTILES],
-            _add(F.when(is_big(final, current_share(final, F.col("soz"))), final))
-            .cast("double")
-            .alias("final_big"),
-        )
+        .select(*KEY, "plan", "big_gap", "top_total", "soz", "top", "ordered", F.expr(_every_quantile()))
+        .withColumn("raised", F.expr(_uplifted("q")))
     )
-    plan, top_total = F.col("plan"), F.col("top_total")
-    final_total = F.col(f"q{QUANTILES[-1]}")
-    tried = F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"q{q}").alias("total")) for q in QUANTILES])
-    stop = F.array_min(F.filter(tried, lambda x: x["total"] > plan))
-    short = F.lit(1.0) - ratio(final_total, plan)
-    step = (
-        F.when(F.col("stop").isNotNull(), F.lit("quantile"))
-        .when(short <= F.col("big_gap"), F.lit("big_last"))
-        .otherwise(F.lit("failed"))
+    big = is_big("raised", current_share("raised"))
+    sums = raised.groupBy(*KEY, "plan", "big_gap", "top_total", "q").agg(
+        F.expr(f"double({total_of('raised')}) as total"),
+        F.expr(f"double({total_of(f'if({big}, raised, null)')}) as big"),
     )
-    factor = F.when(
-        F.col("stage") == "quantile", ratio(plan - top_total, F.col("stop.total") - top_total)
-    ).when(F.col("stage") == "big_last", ratio(plan - final_total, F.col("final_big")))
-    return (
-        sums.withColumn("stop", stop)
-        .withColumn("stage", step)
-        .select(
-            *KEY,
-            "plan",
-            "stage",
-            factor.alias("factor"),
-            F.lit(None).cast("int").alias("stop_band"),
-            F.col("stop.q").alias("stop_quantile"),
-        )
+    branches = sums.groupBy(*KEY, "plan", "big_gap", "top_total").agg(
+        F.expr("min(if(total > plan, struct(q, total), null)) as stop"),
+        F.expr("max_by(total, q) as final_total"),
+        F.expr("max_by(big, q) as final_big"),
+    )
+    rules = {
+        "quantile": ("stop is not null", "try_divide(plan - top_total, stop.total - top_total)"),
+        "big_last": (
+            "1D - try_divide(final_total, plan) <= big_gap",
+            "try_divide(plan - final_total, final_big)",
+        ),
+        "failed": ("true", "cast(null as double)"),
+    }
+    return _by_rules(branches, rules).selectExpr(
+        *DECISION[:5], "cast(null as int) as stop_band", "stop.q as stop_quantile"
     )
 
 
@@ -209,15 +189,22 @@ def branch_decisions(
     levels: Sequence[AllocationLevel],
     strict_bands: bool = True,
 ) -> DataFrame:
-    """Stage, stretch factor and outcome per (branch, level), as a staged table."""
+    """Stage, stretch factor and outcome per (branch, level), from staged tables."""
     leveled = with_levels(rows, levels)
     first = stage(_first_decisions(leveled, strict_bands), "branch-decisions")
     undecided = first.filter("stage is null")
-    decided = first.filter("stage is not null").drop("big_gap", "top_total")
+    decided = first.filter("stage is not null").select(*DECISION)
     if undecided.isEmpty():
         return decided
-    late = _quantile_decisions(leveled, undecided, years)
-    return stage(decided.unionByName(late), "branch-decisions")
+    late = stage(_quantile_decisions(leveled, undecided, years), "branch-decisions")
+    return decided.unionByName(late)
+
+
+def first_passing(decisions: DataFrame) -> DataFrame:
+    """Per branch the lowest level that passes, else the last level."""
+    order = F.expr("if(stage <> 'failed', level, 10000 - level)")
+    kept = F.min_by(F.struct(*decisions.columns), order)
+    return decisions.groupBy("sale_loc").agg(kept.alias("kept")).select("kept.*")
 
 
 def chosen_decisions(
@@ -236,35 +223,41 @@ def chosen_decisions(
     if len(levels) == 1 or missed.isEmpty():
         return base
     again = rows.join(missed.select("sale_loc"), "sale_loc", "left_semi")
-    retried = branch_decisions(again, years, levels[1:], strict_bands)
-    order = F.when(F.col("stage") != "failed", F.col("level")).otherwise(F.lit(10_000) - F.col("level"))
-    names = retried.columns
-    best = retried.groupBy("sale_loc").agg(F.min_by(F.struct(*names), order).alias("kept")).select("kept.*")
-    return stage(base.filter("stage <> 'failed'").unionByName(best), "branch-decisions")
-
-
-def _apply(strict_bands: bool) -> Column:
-    """New target of a row under its branch's decision."""
-    t, top, factor, name = F.col("target"), F.col("top"), F.col("factor"), F.col("stage")
-    value = F.when(
-        name == "big_init", F.when(is_big(t, F.col("share")), stretched(t, t * 2, factor)).otherwise(t)
-    ).when(name == "scale", t * factor)
-    for s in STAGES:
-        value = value.when(name == s, stretched(t, _stage_value(s, strict_bands), factor))
-    raised = F.when(F.col("band") <= F.col("stop_band"), top).otherwise(F.col("base"))
-    value = value.when(name == "bands", stretched(F.col("base"), raised, factor))
-    big_top = F.when(is_big(top, F.col("top_share")), stretched(top, top * 2, factor)).otherwise(top)
-    return value.when(name == "big_finish", big_top)
-
-
-def _apply_quantile() -> Column:
-    top, factor = F.col("top"), F.col("factor")
-    final, at_stop = _uplifted(QUANTILES[-1]), _uplifted(F.col("stop_quantile"))
-    big = is_big(final, current_share(final, F.col("soz")))
-    return (
-        F.when(F.col("stage") == "quantile", stretched(top, at_stop, factor))
-        .when((F.col("stage") == "big_last") & big, stretched(final, final * 2, factor))
-        .otherwise(final)
+    retried = first_passing(branch_decisions(again, years, levels[1:], strict_bands))
+    return stage(base.filter("stage <> 'failed'").unionByName(retried), "chosen-decisions")
+
+
+def _by_stage(values: dict[str, str]) -> str:
+    cases = " ".join(f"when '{name}' then {value}" for name, value in values.items())
+    return f"case stage {cases} end"
+
+
+def _early_target(strict_bands: bool) -> str:
+    """New target of a row whose branch was decided before the quantiles."""
+
+    def to_big(value: str, share: str) -> str:
+        return f"if({is_big(value, share)}, {stretched(value, f'{value} * 2')}, {value})"
+
+    return _by_stage(
+        {
+            "big_init": to_big("target", "share"),
+            "scale": "target * factor",
+            **{s: stretched("target", stage_value(s, strict_bands)) for s in STAGES},
+            "bands": stretched("base", "if(band <= stop_band, top, base)"),
+            "big_finish": to_big("top", "top_share"),
+        }
+    )
+
+
+def _late_target() -> str:
+    """New target of a row whose branch went on to the quantiles; ``final`` is the last one's."""
+    big = is_big("final", current_share("final"))
+    return _by_stage(
+        {
+            "quantile": stretched("top", _uplifted("stop_quantile")),
+            "big_last": f"if({big}, {stretched('final', 'final * 2')}, final)",
+            "failed": "final",
+        }
     )
 
 
@@ -277,57 +270,38 @@ def allocate(
 ) -> tuple[DataFrame, DataFrame]:
     """Client targets that meet the branch plans, and the decision table.
 
-    ``wallet`` (see :func:`wallet_share`) and ``years`` (see
-    :func:`client_year`) are read several times, so pass
-    staged tables. Clients of a branch without a plan, or without a branch, keep their forecast.
+    ``wallet`` (see :func:`wallet_share`) and ``years`` (see :func:`client_year`) are read several
+    times, so pass staged tables. Clients of a branch without a plan, or without a branch, keep
+    their forecast.
     """
     levels = list(levels or entire_levels())
     rows = with_plan(wallet, plans)
     decisions = chosen_decisions(rows, years, levels, strict_bands)
-    out = ("segment", "target", "sale_loc", "soz", "fact_soz", "level", "stage")
-
-    def settled(found: DataFrame, value: Column) -> DataFrame:
-        new_share = F.when(F.col("stage") == "scale", F.col("share")).otherwise(
-            current_share(F.col("new_target"), F.col("soz"))
-        )
-        return found.withColumn("new_target", value).select(
-            "segment",
-            F.col("new_target").alias("target"),
-            "sale_loc",
-            "soz",
-            new_share.alias("fact_soz"),
-            "level",
-            "stage",
-        )
-
     lifted = _lifted(with_own_level(rows.join(decisions.drop("plan"), "sale_loc"), levels))
-    by_quantile = F.col("stage").isin("quantile", "big_last", "failed")
-    direct = settled(lifted.filter(~by_quantile), _apply(strict_bands))
-    late = settled(lifted.filter(by_quantile).join(years, "segment", "left"), _apply_quantile())
-    unplanned = wallet.join(plans.select("sale_loc"), "sale_loc", "left_anti").select(
-        "segment",
-        "target",
-        "sale_loc",
-        "soz",
-        "fact_soz",
-        F.lit(None).cast("int").alias("level"),
-        F.lit("no_plan").alias("stage"),
+    by_quantile = F.col("stage").isin(*LATE_STAGES)
+    early = lifted.filter(~by_quantile).withColumn("_new", F.expr(_early_target(strict_bands)))
+    late = (
+        lifted.filter(by_quantile)
+        .join(years, "segment", "left")
+        .withColumn("final", F.expr(_uplifted(str(LAST_QUANTILE))))
+        .withColumn("_new", F.expr(_late_target()))
+    )
+    unplanned = wallet.join(plans.select("sale_loc"), "sale_loc", "left_anti").selectExpr(
+        "segment", "target", "sale_loc", "soz", "fact_soz", "cast(null as int) as level", "'no_plan' as stage"
     )
-    return direct.unionByName(late).unionByName(unplanned).select(*out), decisions
+
+    def settled(found: DataFrame) -> DataFrame:
+        share = f"if(stage = 'scale', share, {current_share('_new')}) as fact_soz"
+        return found.selectExpr("segment", "_new as target", "sale_loc", "soz", share, "level", "stage")
+
+    return settled(early).unionByName(settled(late)).unionByName(unplanned), decisions
 
 
 def branch_status(result: DataFrame, decisions: DataFrame) -> DataFrame:
     """Per branch: level, stage, outcome, allocated total and plan."""
     totals = result.groupBy("sale_loc", "stage", "level").agg(
-        F.count("*").alias("clients"), _add(F.col("target")).cast("double").alias("total")
+        F.count("*").alias("clients"), F.expr(f"double({total_of('target')}) as total")
     )
-    plans = decisions.select("sale_loc", "plan")
-    return totals.join(plans, "sale_loc", "left").select(
-        "sale_loc",
-        "level",
-        "stage",
-        (~F.col("stage").isin("failed", "no_plan")).alias("passed"),
-        "clients",
-        "total",
-        "plan",
+    return totals.join(decisions.select("sale_loc", "plan"), "sale_loc", "left").selectExpr(
+        "sale_loc", "level", "stage", "stage not in ('failed', 'no_plan') as passed", "clients", "total", "plan"
     )

@@ -5,30 +5,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.context import SMA_WINDOWS, PlanContext, shift_months
 
 
-def _sum_between(first: date, last: date) -> Column:
-    inside = F.col("month").between(F.lit(first), F.lit(last))
-    return F.coalesce(F.sum(F.when(inside, F.col("target"))), F.lit(0))
+def _sum_between(first: date, last: date) -> str:
+    inside = f"month between date'{first}' and date'{last}'"
+    return f"coalesce(sum(case when {inside} then target end), 0)"
 
 
-def _forecast(month: date, window: int) -> Column:
+def _forecast(month: date, window: int) -> str:
     """Mean of the ``window`` months before ``month``, months without a row counting 0."""
-    return _sum_between(shift_months(month, -window), shift_months(month, -1)) / F.lit(window)
+    return f"{_sum_between(shift_months(month, -window), shift_months(month, -1))} / {window}"
 
 
-def fold_score(errors: Sequence[Column]) -> Column:
+def fold_score(errors: Sequence[str]) -> str:
     """Mean plus sample standard deviation of the fold errors; 0 for the deviation of one."""
     n = len(errors)
-    mean = sum(errors[1:], errors[0]) / F.lit(float(n))
+    mean = f"(({' + '.join(errors)}) / {n}D)"
     if n == 1:
         return mean
-    squares = [(e - mean) * (e - mean) for e in errors]
-    return mean + F.sqrt(sum(squares[1:], squares[0]) / F.lit(float(n - 1)))
+    squares = " + ".join(f"({e} - {mean}) * ({e} - {mean})" for e in errors)
+    return f"({mean} + sqrt(({squares}) / {n - 1}D))"
 
 
 def moving_average_scores(
@@ -40,23 +40,19 @@ def moving_average_scores(
     sum over that length. One aggregate per client replaces the grid, the windows and the refits.
     """
     months = {0: ctx.holdout} | {k: ctx.fold_month(k) for k in range(1, ctx.folds + 1)}
-    sums = [_sum_between(m, m).alias(f"actual_{k}") for k, m in months.items() if k]
+    sums = [f"{_sum_between(m, m)} as actual_{k}" for k, m in months.items() if k]
     for w in windows:
-        sums += [_forecast(m, w).alias(f"sma{w}_{k}") for k, m in months.items()]
-        sums.append(_forecast(ctx.plan_month, w).alias(f"sma{w}_final"))
-    wide = panel.groupBy("segment").agg(*sums)
+        sums += [f"{_forecast(m, w)} as sma{w}_{k}" for k, m in months.items()]
+        sums.append(f"{_forecast(ctx.plan_month, w)} as sma{w}_final")
+    wide = panel.groupBy("segment").agg(*map(F.expr, sums))
     models = []
     for w in windows:
-        errors = [F.abs(F.col(f"actual_{k}") - F.col(f"sma{w}_{k}")) for k in range(1, ctx.folds + 1)]
+        errors = [f"abs(actual_{k} - sma{w}_{k})" for k in range(1, ctx.folds + 1)]
         models.append(
-            F.struct(
-                F.lit(f"sma{w}").alias("model"),
-                fold_score(errors).cast("bigint").cast("double").alias("mae"),
-                F.col(f"sma{w}_0").alias("hd_preds"),
-                F.col(f"sma{w}_final").alias("final_preds"),
-            )
+            f"struct('sma{w}' as model, double(bigint({fold_score(errors)})) as mae, "
+            f"sma{w}_0 as hd_preds, sma{w}_final as final_preds)"
         )
-    scores = wide.select("segment", F.inline(F.array(*models)))
+    scores = wide.select("segment", F.expr(f"inline(array({', '.join(models)}))"))
     return scores.filter(~((F.col("model") == "sma1") & (F.col("hd_preds") == 0)))
 
 
@@ -67,19 +63,15 @@ def moving_average_backtest(
     sums = []
     for k in range(1, ctx.folds + 1):
         month = ctx.fold_month(k)
-        sums.append(_sum_between(month, month).alias(f"actual_{k}"))
-        sums += [_forecast(month, w).alias(f"sma{w}_{k}") for w in windows]
-    wide = panel.groupBy("segment").agg(*sums)
-    folds = [
-        F.struct(
-            F.lit(f"sma{w}").alias("model"),
-            F.lit(ctx.fold_month(k)).alias("month"),
-            F.col(f"actual_{k}").alias("actual"),
-            F.col(f"sma{w}_{k}").alias("forecast"),
-        )
+        sums.append(f"{_sum_between(month, month)} as actual_{k}")
+        sums += [f"{_forecast(month, w)} as sma{w}_{k}" for w in windows]
+    wide = panel.groupBy("segment").agg(*map(F.expr, sums))
+    folds = ", ".join(
+        f"struct('sma{w}' as model, date'{ctx.fold_month(k)}' as month, "
+        f"actual_{k} as actual, sma{w}_{k} as forecast)"
         for w in windows
         for k in range(1, ctx.folds + 1)
-    ]
-    return wide.select("segment", F.inline(F.array(*folds))).withColumn(
+    )
+    return wide.select("segment", F.expr(f"inline(array({folds}))")).withColumn(
         "abs_error", F.abs(F.col("actual") - F.col("forecast"))
     )

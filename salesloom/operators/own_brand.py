@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.context import PlanContext, own_brand_steps
-from salesloom.functions import exact_sum, ratio
-from salesloom.operators.stretch import stretched, with_plan
+from salesloom.functions import ratio
+from salesloom.operators.allocation import first_passing
+from salesloom.operators.stretch import stretched, total_of, with_plan
 from salesloom.operators.wallet import recode_branches
 from salesloom.session import stage
 
@@ -20,6 +21,7 @@ FIRST_STEP_OFFSET = 0.001
 SMALL_TARGET = 500.0
 # --------------------------------------------------------------------
 KEY = ("sale_loc", "level")
+DECISION = (*KEY, "plan", "stage", "factor", "stop_band")
 
 
 def fill_missing_clients(
@@ -82,11 +84,10 @@ def prepare_own_brand(
     return recode_branches(prepared, recode)
 
 
-def border_value(border: float) -> Column:
+def border_value(border: float) -> str:
     """Clients below the border share rise to it, at most to their own greatest month."""
-    t, rel = F.col("target"), F.col("rel")
-    lifted = F.coalesce(ratio(F.lit(border), rel) * t, t)
-    return F.when(rel < border, F.least(lifted, F.col("greatest"))).otherwise(t)
+    lifted = f"coalesce(try_divide({border!r}D, rel) * target, target)"
+    return f"if(rel < {border!r}D, least({lifted}, greatest), target)"
 
 
 def ratchet_bands(border: float) -> list[int]:
@@ -94,87 +95,69 @@ def ratchet_bands(border: float) -> list[int]:
     return list(range(int(border * 100), RATCHET_END))
 
 
-def ratchet_start(border: float) -> Column:
-    """Share the ratchet starts from: small clients below the border count as whole."""
-    small = (F.col("rel") < border) & (F.col("target") <= SMALL_TARGET)
-    return F.when(small, F.lit(1.0)).otherwise(F.col("rel"))
+def ratchet_path(border: float) -> str:
+    """Share after each ratchet band, as an array; a client lifted once may be lifted again.
 
-
-def ratchet_shares(start: Column, border: float, step: Column) -> Column:
-    """Share after each ratchet band; a client lifted once may be lifted again.
-
-    Sequential within the row only, so a fold over the fixed bands gives all states.
+    Sequential within the row only, so a fold over the fixed bands gives all states. Small
+    clients below the border start as if they were whole.
     """
-    target, numbers = F.col("target"), ratchet_bands(border)
-
-    def move(state: Column, n: Column) -> Column:
-        # the first band starts slightly above the border
-        factor = F.when(n == numbers[0], F.lit(border + FIRST_STEP_OFFSET)).otherwise(n / F.lit(100))
-        rel = state["rel"]
-        inside = rel.between(factor, factor + F.lit(RATCHET_WIDTH)) & (target > SMALL_TARGET)
-        moved = F.when(inside, factor + step).otherwise(rel)
-        return F.struct(moved.alias("rel"), F.array_append(state["path"], moved).alias("path"))
-
-    empty = F.array().cast("array<double>")
-    bands = F.sequence(F.lit(numbers[0]), F.lit(numbers[-1]))
-    folded = F.aggregate(bands, F.struct(start.alias("rel"), empty.alias("path")), move)
-    return folded["path"]
-
-
-def share_value(rel: Column) -> Column:
+    bands = ratchet_bands(border)
+    start = f"if(rel < {border!r}D and target <= {SMALL_TARGET!r}D, 1D, rel)"
+    # the first band starts slightly above the border
+    factor = f"if(n = {bands[0]}, {border + FIRST_STEP_OFFSET!r}D, n / 100)"
+    inside = f"state.rel between {factor} and {factor} + {RATCHET_WIDTH!r}D and target > {SMALL_TARGET!r}D"
+    moved = f"if({inside}, {factor} + step, state.rel)"
+    return f"""aggregate(
+        sequence({bands[0]}, {bands[-1]}),
+        named_struct('rel', {start}, 'path', cast(array() as array<double>)),
+        (state, n) -> named_struct('rel', {moved}, 'path', array_append(state.path, {moved})),
+        state -> state.path
+    )"""
+
+
+def share_value(share: str, keep_border_fill: bool, border: float) -> str:
     """Target of a share: no base means the target stays; never above the greatest month."""
-    lifted = F.when(F.col("entire_mean") == 0, F.col("target")).otherwise(rel * F.col("entire_mean"))
-    return F.least(lifted, F.col("greatest"))
-
-
-def border_fill(rows: DataFrame, plans: DataFrame, border: float) -> DataFrame:
-    """Scale-down or border fill of each branch; a branch it does not suffice for is not passed."""
-    planned = with_plan(rows, plans)
-    decisions = stage(_border_decisions(planned, border), "own-border")
-    found = planned.join(decisions.drop("plan"), "sale_loc")
-    return found.select("segment", "sale_loc", "stage", _border_target(border).alias("target"))
+    value = f"least(if(entire_mean = 0D, target, {share} * entire_mean), greatest)"
+    return f"greatest({value}, {border_value(border)})" if keep_border_fill else value
 
 
 def _border_decisions(planned: DataFrame, border: float) -> DataFrame:
     sums = planned.groupBy("sale_loc", "plan").agg(
-        exact_sum(F.col("target")).alias("total"), exact_sum(border_value(border)).alias("border_total")
+        F.expr(f"double({total_of('target')}) as total"),
+        F.expr(f"double({total_of(border_value(border))}) as border_total"),
     )
-    plan, total = F.col("plan"), F.col("total")
-    return sums.select(
+    return sums.withColumn(
+        "stage",
+        F.expr(
+            "case when try_divide(plan, total) < 1 then 'scale' "
+            "when border_total > plan then 'border' else 'open' end"
+        ),
+    ).selectExpr(
         "sale_loc",
         "plan",
-        "total",
-        F.when(ratio(plan, total) < 1, F.lit("scale"))
-        .when(F.col("border_total") > plan, F.lit("border"))
-        .otherwise(F.lit("open"))
-        .alias("stage"),
-        F.when(ratio(plan, total) < 1, ratio(plan, total))
-        .when(F.col("border_total") > plan, ratio(plan - total, F.col("border_total") - total))
-        .alias("factor"),
+        "stage",
+        "case stage when 'scale' then try_divide(plan, total) "
+        "when 'border' then try_divide(plan - total, border_total - total) end as factor",
     )
 
 
-def _border_target(border: float) -> Column:
-    t, factor = F.col("target"), F.col("factor")
-    return (
-        F.when(F.col("stage") == "scale", t * factor)
-        .when(F.col("stage") == "border", stretched(t, border_value(border), factor))
-        .otherwise(t)
-    )
+def _border_target(border: float) -> str:
+    filled = stretched("target", border_value(border))
+    return f"case stage when 'scale' then target * factor when 'border' then {filled} else target end"
 
 
-def _with_path(rows: DataFrame, border: float, steps: Sequence[float], keep_border_fill: bool) -> DataFrame:
-    """Share path of each row for the parameter level named in ``level``."""
-    step = F.get(F.array(*map(F.lit, steps)), F.col("level"))
-    with_path = rows.withColumn("path", ratchet_shares(ratchet_start(border), border, step))
-    if not keep_border_fill:
-        return with_path
-    return with_path.withColumn("floor_value", border_value(border))
+def border_fill(rows: DataFrame, plans: DataFrame, border: float) -> DataFrame:
+    """Scale-down or border fill of each branch; ``open`` marks branches it does not suffice for."""
+    planned = with_plan(rows, plans)
+    decisions = stage(_border_decisions(planned, border), "own-border")
+    found = planned.join(decisions.drop("plan"), "sale_loc")
+    return found.select("segment", "sale_loc", "stage", F.expr(_border_target(border)).alias("target"))
 
 
-def _path_value(rel: Column, keep_border_fill: bool) -> Column:
-    value = share_value(rel)
-    return F.greatest(value, F.col("floor_value")) if keep_border_fill else value
+def _with_path(rows: DataFrame, border: float, steps: Sequence[float]) -> DataFrame:
+    """Share path of each row for the parameter level it names."""
+    step = F.expr(f"get(array({', '.join(f'{s!r}D' for s in steps)}), level) as step")
+    return rows.select("*", step).withColumn("path", F.expr(ratchet_path(border)))
 
 
 def ratchet_decisions(
@@ -185,25 +168,21 @@ def ratchet_decisions(
     keep_border_fill: bool = False,
 ) -> DataFrame:
     """First ratchet band that lifts the branch above its plan, per branch and level."""
-    numbers = ratchet_bands(border)
     leveled = planned.withColumn("level", F.explode(F.array(*map(F.lit, levels))))
-    paths = _with_path(leveled, border, steps, keep_border_fill)
-    sums = paths.groupBy(*KEY, "plan").agg(
-        exact_sum(F.col("target")).alias("total"),
-        *[
-            exact_sum(_path_value(F.get("path", F.lit(i)), keep_border_fill)).alias(f"n{n}")
-            for i, n in enumerate(numbers)
-        ],
+    every = _with_path(leveled, border, steps).select("*", F.expr("posexplode(path) as (pos, share)"))
+    sums = every.groupBy(*KEY, "plan", "pos").agg(
+        F.expr(f"double({total_of('target')}) as total"),
+        F.expr(f"double({total_of(share_value('share', keep_border_fill, border))}) as raised"),
     )
-    tried = F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"n{n}").alias("total")) for n in numbers])
-    stop = F.array_min(F.filter(tried, lambda x: x["total"] > F.col("plan")))
-    plan, total = F.col("plan"), F.col("total")
-    return sums.withColumn("stop", stop).select(
+    branches = sums.groupBy(*KEY, "plan").agg(
+        F.expr("min(if(raised > plan, struct(pos, raised, total), null)) as stop")
+    )
+    return branches.selectExpr(
         *KEY,
         "plan",
-        F.when(F.col("stop").isNotNull(), F.lit("ratchet")).otherwise(F.lit("failed")).alias("stage"),
-        ratio(plan - total, F.col("stop.total") - total).alias("factor"),
-        F.col("stop.n").alias("stop_band"),
+        "if(stop is not null, 'ratchet', 'failed') as stage",
+        "try_divide(plan - stop.total, stop.raised - stop.total) as factor",
+        f"stop.pos + {ratchet_bands(border)[0]} as stop_band",
     )
 
 
@@ -215,29 +194,17 @@ def own_brand_decisions(
     Scale-down and border fill do not depend on the level, so only the ratchet is retried.
     """
     first = stage(_border_decisions(planned, border), "own-border")
-    names = ["sale_loc", "plan", "level", "stage", "factor", "stop_band"]
-    done = first.filter("stage <> 'open'").select(
-        "sale_loc",
-        "plan",
-        F.lit(0).alias("level"),
-        "stage",
-        "factor",
-        F.lit(None).cast("int").alias("stop_band"),
+    done = first.filter("stage <> 'open'").selectExpr(
+        "sale_loc", "0 as level", "plan", "stage", "factor", "cast(null as int) as stop_band"
     )
-    current = first.filter("stage = 'open'")
-    if current.isEmpty():
-        return done.select(*names)
-    last = len(steps) - 1
+    current, last = first.filter("stage = 'open'"), len(steps) - 1
     for levels in ([0], list(range(1, len(steps)))):
         if not levels or current.isEmpty():
             break
-        open_rows = planned.join(current.select("sale_loc"), "sale_loc", "left_semi")
-        found = ratchet_decisions(open_rows, border, steps, levels, keep_border_fill)
-        order = F.when(F.col("stage") != "failed", F.col("level")).otherwise(F.lit(10_000) - F.col("level"))
-        best = found.groupBy("sale_loc").agg(F.min_by(F.struct(*names[1:]), order).alias("kept"))
-        found = stage(best.select("sale_loc", "kept.*"), "own-ratchet")
-        settled = found if levels[-1] == last else found.filter("stage <> 'failed'")
-        done = done.select(*names).unionByName(settled.select(*names))
+        rows = planned.join(current.select("sale_loc"), "sale_loc", "left_semi")
+        found = first_passing(ratchet_decisions(rows, border, steps, levels, keep_border_fill))
+        found = stage(found.select(*DECISION), "own-ratchet")
+        done = done.unionByName(found if levels[-1] == last else found.filter("stage <> 'failed'"))
         current = found.filter("stage = 'failed'")
     return done
 
@@ -256,33 +223,26 @@ def allocate_own_brand(
     """
     steps = list(steps or own_brand_steps())
     border = ctx.own_brand_border
+    bands = ratchet_bands(border)
     planned = with_plan(prepared, plans)
-    decisions = stage(own_brand_decisions(planned, border, steps, keep_border_fill), "own-decisions")
+    decisions = own_brand_decisions(planned, border, steps, keep_border_fill)
     keyed = planned.join(decisions.drop("plan"), "sale_loc")
 
     by_path = F.col("stage").isin("ratchet", "failed")
-    direct = keyed.filter(~by_path).withColumn("new_target", _border_target(border))
-    paths = _with_path(keyed.filter(by_path), border, steps, keep_border_fill)
-    t, factor = F.col("target"), F.col("factor")
-    at_stop = _path_value(F.get("path", F.col("stop_band") - ratchet_bands(border)[0]), keep_border_fill)
-    at_end = _path_value(F.get("path", F.lit(len(ratchet_bands(border)) - 1)), keep_border_fill)
-    late = paths.withColumn(
-        "new_target", F.when(F.col("stage") == "ratchet", stretched(t, at_stop, factor)).otherwise(at_end)
+    direct = keyed.filter(~by_path).withColumn("_new", F.expr(_border_target(border)))
+    reached = F.expr(f"get(path, if(stage = 'ratchet', stop_band, {bands[-1]}) - {bands[0]})")
+    value = share_value("share", keep_border_fill, border)
+    late = (
+        _with_path(keyed.filter(by_path), border, steps)
+        .withColumn("share", reached)
+        .withColumn("_new", F.expr(f"if(stage = 'ratchet', {stretched('target', value)}, {value})"))
     )
-    unplanned = prepared.join(plans.select("sale_loc"), "sale_loc", "left_anti").withColumns(
-        {"new_target": t, "level": F.lit(None).cast("int"), "stage": F.lit("no_plan")}
+    unplanned = prepared.join(plans.select("sale_loc"), "sale_loc", "left_anti").selectExpr(
+        "*", "target as _new", "cast(null as int) as level", "'no_plan' as stage"
     )
 
     def out(df: DataFrame) -> DataFrame:
-        new = F.col("new_target")
-        return df.select(
-            "segment",
-            new.alias("target"),
-            "sale_loc",
-            "entire_mean",
-            ratio(new, F.col("entire_mean")).alias("rel"),
-            "level",
-            "stage",
-        )
+        rel = "try_divide(_new, entire_mean) as rel"
+        return df.selectExpr("segment", "_new as target", "sale_loc", "entire_mean", rel, "level", "stage")
 
     return out(direct).unionByName(out(late)).unionByName(out(unplanned)), decisions

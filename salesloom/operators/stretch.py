@@ -1,11 +1,15 @@
-"""Row expressions of the stretch stages, and single stages over all branches."""
+"""Expressions of the stretch stages, and single stages over all branches.
+
+The stages are many small formulas over the same columns, so they are built as SQL text and
+parsed by one ``expr`` call each.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import astuple, fields
+from dataclasses import asdict
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.context import (
@@ -14,7 +18,6 @@ from salesloom.context import (
     BIG_CLIENT_TARGET,
     AllocationLevel,
 )
-from salesloom.functions import exact_sum, ratio
 from salesloom.session import stage
 
 STAGES = ("very_low", "to_5", "to_10", "to_15", "to_20", "to_25")
@@ -31,36 +34,43 @@ FIRST_BAND, LAST_BAND = 25, 98
 FIRST_BAND_FROM = 0.250001
 BAND_WIDTH = 0.009999
 # -------------------------------------------------------------------------------------
+SUM_TYPE = "decimal(28,9)"
+
+
+def total_of(value: str) -> str:
+    """Sum that does not depend on row order, so plan comparisons repeat exactly."""
+    return f"sum(cast({value} as {SUM_TYPE}))"
 
 
-def _parameters(level: AllocationLevel) -> Column:
-    names = [f.name for f in fields(AllocationLevel)]
-    return F.struct(*[F.lit(v).alias(n) for n, v in zip(names, astuple(level))])
+def _parameters(level: AllocationLevel) -> str:
+    values = ", ".join(
+        f"{value} as {name}" if name == "level" else f"{value!r}D as {name}"
+        for name, value in asdict(level).items()
+    )
+    return f"struct({values})"
 
 
 def with_levels(rows: DataFrame, levels: Sequence[AllocationLevel]) -> DataFrame:
     """One copy of each row per parameter level, with the parameters in ``lvl``."""
-    exploded = rows.withColumn("lvl", F.explode(F.array(*map(_parameters, levels))))
-    return exploded.withColumn("level", F.col("lvl.level"))
+    every = ", ".join(map(_parameters, levels))
+    return rows.withColumn("lvl", F.expr(f"explode(array({every}))")).withColumn("level", F.col("lvl.level"))
 
 
 def with_own_level(rows: DataFrame, levels: Sequence[AllocationLevel]) -> DataFrame:
     """The parameters of the level each row already names, in ``lvl``."""
-    own = F.when(F.col("level") == levels[0].level, _parameters(levels[0]))
-    for level in levels[1:]:
-        own = own.when(F.col("level") == level.level, _parameters(level))
-    return rows.withColumn("lvl", own)
+    cases = " ".join(f"when {level.level} then {_parameters(level)}" for level in levels)
+    return rows.withColumn("lvl", F.expr(f"case level {cases} end"))
 
 
-def current_share(target: Column, turnover: Column) -> Column:
-    return F.coalesce(ratio(target, turnover), F.lit(1.0))
+def current_share(target: str, turnover: str = "soz") -> str:
+    return f"coalesce(try_divide({target}, {turnover}), 1D)"
 
 
-def is_big(target: Column, share: Column) -> Column:
-    return (target > BIG_CLIENT_TARGET) & (share > BIG_CLIENT_SHARE)
+def is_big(target: str, share: str) -> str:
+    return f"({target} > {BIG_CLIENT_TARGET!r}D and {share} > {BIG_CLIENT_SHARE!r}D)"
 
 
-def raised_share(share: Column, step: str, strict_bands: bool = True) -> Column:
+def raised_share(share: str, step: str, strict_bands: bool = True) -> str:
     """Share of wallet after a stage: every band up to the stage's own is lifted.
 
     Bands are half-open. With ``strict_bands`` the fifth stage lifts no more than the fourth.
@@ -68,31 +78,36 @@ def raised_share(share: Column, step: str, strict_bands: bool = True) -> Column:
     reach = STAGES.index(step)
     if step == "to_20" and strict_bands:
         reach = STAGES.index("to_15")
-    value = F.when(share < 0.0, share).when(share < VERY_LOW_BELOW, share * F.col("lvl.very_low"))
-    for bound, parameter in BANDS[:reach]:
-        value = value.when(share < bound, F.col(f"lvl.{parameter}"))
-    value = value.otherwise(share)
-    if step == "very_low":
-        return value
-    cap = F.col("lvl.cap")
-    return F.when((share < cap) & (value > cap), cap).otherwise(value)
+    cases = [f"when {share} < 0D then {share}", f"when {share} < {VERY_LOW_BELOW!r}D then {share} * lvl.very_low"]
+    # a parameter above the cap would lift a client past the band it is headed for
+    cases += [f"when {share} < {b!r}D then {_capped(share, f'lvl.{name}')}" for b, name in BANDS[:reach]]
+    return f"(case {' '.join(cases)} else {share} end)"
 
 
-def band_of(share: Column) -> Column:
-    """Number of the upper band (25..98) a share lies in, else NULL."""
-    floor = F.floor(share * 100).cast("int")
-    number = F.when(share >= (floor + 1) / F.lit(100), floor + 1).otherwise(floor)
-    start = band_start(number)
-    inside = number.between(FIRST_BAND, LAST_BAND) & share.between(start, start + F.lit(BAND_WIDTH))
-    return F.when(inside, number)
+def _capped(share: str, value: str) -> str:
+    return f"if({share} < lvl.cap, least({value}, lvl.cap), {value})"
+
 
+def stage_value(step: str, strict_bands: bool = True) -> str:
+    """Client target after a share stage."""
+    return f"({raised_share('share', step, strict_bands)} * soz)"
 
-def band_start(number: Column) -> Column:
-    return F.when(number == FIRST_BAND, F.lit(FIRST_BAND_FROM)).otherwise(number / F.lit(100))
 
+def band_start(number: str) -> str:
+    return f"if({number} = {FIRST_BAND}, {FIRST_BAND_FROM!r}D, {number} / 100)"
 
-def stretched(base: Column, raised: Column, factor: Column) -> Column:
-    return base + (raised - base) * F.coalesce(factor, F.lit(0.0))
+
+def band_of(share: str) -> str:
+    """Number of the upper band (25..98) a share lies in, else NULL."""
+    floor = f"int(floor({share} * 100))"
+    number = f"({floor} + if({share} >= ({floor} + 1) / 100, 1, 0))"
+    inside = f"{share} between {band_start(number)} and {band_start(number)} + {BAND_WIDTH!r}D"
+    return f"if({number} between {FIRST_BAND} and {LAST_BAND} and {inside}, {number}, null)"
+
+
+def stretched(base: str, raised: str) -> str:
+    """Move a base toward the raised value by the branch's factor (none leaves the base)."""
+    return f"({base} + ({raised} - {base}) * coalesce(factor, 0D))"
 
 
 def with_plan(rows: DataFrame, plans: DataFrame) -> DataFrame:
@@ -100,29 +115,28 @@ def with_plan(rows: DataFrame, plans: DataFrame) -> DataFrame:
     return rows.join(plans.select("sale_loc", F.col("plan_value").alias("plan")), "sale_loc")
 
 
-def _fill(rows: DataFrame, raised: Column, passes) -> DataFrame:
+def _fill(rows: DataFrame, raised: str, passes: str) -> DataFrame:
     """Stretch all rows of the branches that pass; others keep their target."""
     sums = stage(
         rows.groupBy("sale_loc", "plan").agg(
-            exact_sum(F.col("target")).alias("total"), exact_sum(raised).alias("raised_total")
+            F.expr(f"double({total_of('target')}) as total"),
+            F.expr(f"double({total_of(raised)}) as raised_total"),
         ),
         "branch-sums",
     )
-    total, lifted, plan = F.col("total"), F.col("raised_total"), F.col("plan")
     decided = sums.select(
         "sale_loc",
-        F.coalesce(passes(total, lifted, plan), F.lit(False)).alias("passed"),
-        ratio(plan - total, lifted - total).alias("factor"),
+        F.expr(f"coalesce({passes}, false) as passed"),
+        F.expr(f"if({passes}, try_divide(plan - total, raised_total - total), null) as factor"),
     )
-    factor = F.when(F.col("passed"), F.col("factor"))
     return rows.join(decided, "sale_loc").select(
-        "segment", "sale_loc", "passed", stretched(F.col("target"), raised, factor).alias("target")
+        "segment", "sale_loc", "passed", F.expr(stretched("target", raised)).alias("target")
     )
 
 
 def _prepared(rows: DataFrame, plans: DataFrame, level: AllocationLevel) -> DataFrame:
-    share = current_share(F.col("target"), F.col("soz"))
-    return with_levels(with_plan(rows, plans).withColumn("fact_soz", share), [level])
+    share = F.expr(current_share("target"))
+    return with_levels(with_plan(rows, plans).withColumn("share", share), [level])
 
 
 def stretch_stage(
@@ -133,27 +147,20 @@ def stretch_stage(
     strict_bands: bool = True,
 ) -> DataFrame:
     """One of the six share stages on every branch."""
-    raised = raised_share(F.col("fact_soz"), step, strict_bands) * F.col("soz")
-    return _fill(_prepared(rows, plans, level), raised, lambda total, lifted, plan: lifted > plan)
+    return _fill(_prepared(rows, plans, level), stage_value(step, strict_bands), "raised_total > plan")
 
 
 def fill_big_clients(
     rows: DataFrame, plans: DataFrame, level: AllocationLevel = AllocationLevel(level=0)
 ) -> DataFrame:
     """Give a small gap to the big clients of the branch in proportion."""
-    t = F.col("target")
-    raised = F.when(is_big(t, F.col("fact_soz")), t * 2).otherwise(t)
-
-    def passes(total: Column, lifted: Column, plan: Column) -> Column:
-        share = ratio(plan - total, lifted - total)
-        return (share > 0) & (share < BIG_CLIENT_GAP)
-
-    return _fill(_prepared(rows, plans, level), raised, passes)
+    raised = f"if({is_big('target', 'share')}, target * 2, target)"
+    gap = "try_divide(plan - total, raised_total - total)"
+    return _fill(_prepared(rows, plans, level), raised, f"({gap} > 0 and {gap} < {BIG_CLIENT_GAP!r}D)")
 
 
 def scale_down(
     rows: DataFrame, plans: DataFrame, level: AllocationLevel = AllocationLevel(level=0)
 ) -> DataFrame:
     """Shrink all clients of a branch whose forecast is above the plan."""
-    t = F.col("target")
-    return _fill(_prepared(rows, plans, level), t * 2, lambda total, _, plan: ratio(plan, total) < 1)
+    return _fill(_prepared(rows, plans, level), "(target * 2)", "try_divide(plan, total) < 1")

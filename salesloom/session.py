@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # call-site capture costs several JVM calls per column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # upper size of a join side that Spark may broadcast; it compares file or shuffle sizes
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
 }
