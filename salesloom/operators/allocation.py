@@ -90,11 +90,12 @@ def _lifted(rows: DataFrame) -> DataFrame:
     )
 
 
-def _first_decisions(rows: DataFrame, strict_bands: bool) -> DataFrame:
-    """Stage reached by each branch and level without quantiles; NULL where none passes.
+def _branch_sums(rows: DataFrame, strict_bands: bool) -> DataFrame:
+    """Totals of every stage before the quantiles per (branch, level).
 
     Rows are summed per (branch, level, upper band): at most 75 rows per branch and level, with
-    partial sums on the map side, so the size of a branch does not matter.
+    partial sums on the map side, so the size of a branch does not matter. ``stop`` is the first
+    band whose running total is above the plan.
     """
     added = {
         "total": "target",
@@ -113,7 +114,7 @@ def _first_decisions(rows: DataFrame, strict_bands: bool) -> DataFrame:
     )
     branch = Window.partitionBy(*KEY)
     upto = F.sum("base_total").over(branch) + F.sum("gain").over(branch.orderBy("band"))
-    sums = (
+    return (
         cells.withColumn("upto", upto.cast("double"))
         .groupBy(*KEY, "plan", "big_gap")
         .agg(
@@ -121,6 +122,14 @@ def _first_decisions(rows: DataFrame, strict_bands: bool) -> DataFrame:
             F.expr("min(if(band > 0 and upto > plan, struct(band, upto), null)) as stop"),
         )
     )
+
+
+BAND_FACTOR = "try_divide(plan - base_total, stop.upto - base_total)"
+
+
+def _first_decisions(rows: DataFrame, strict_bands: bool) -> DataFrame:
+    """Stage reached by each branch and level without quantiles; NULL where none passes."""
+    sums = _branch_sums(rows, strict_bands)
     gap = "try_divide(plan - total, big)"
     short = "1D - try_divide(top_total, plan)"
     rules = {
@@ -129,12 +138,12 @@ def _first_decisions(rows: DataFrame, strict_bands: bool) -> DataFrame:
         **{
             s: (f"sum_{s} > plan", f"try_divide(plan - total, sum_{s} - total)") for s in STAGES
         },
-        "bands": ("stop is not null", "try_divide(plan - base_total, stop.upto - base_total)"),
+        "bands": ("stop is not null", BAND_FACTOR),
         "big_finish": (f"{short} <= big_gap", "try_divide(plan - top_total, top_big)"),
     }
     decided = _by_rules(sums, rules)
     return decided.selectExpr(
-        *DECISION[:5], "stop.band as stop_band", "cast(null as int) as stop_quantile", "big_gap", "top_total"
+        *DECISION[:5], "stop.band as stop_band", "cast(null as int) as stop_quantile", "big_gap"
     )
 
 
@@ -152,26 +161,39 @@ def _uplifted(percent: str) -> str:
     return f"(case when top in (0D, {FIXED_LOW_TARGET!r}D) then top else greatest(top, {_own_quantile(percent)}) end)"
 
 
-def _quantile_decisions(rows: DataFrame, undecided: DataFrame, years: DataFrame) -> DataFrame:
-    """Decisions of the branches that no earlier stage brought to the plan."""
+def _quantile_sums(rows: DataFrame, years: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """First quantile whose total is above the plan, and the totals of the last quantile.
+
+    Each row is expanded to the 50 quantiles and summed at once, map side first.
+    """
     raised = (
-        _lifted(rows.join(undecided.select(*KEY, "big_gap", "top_total"), list(KEY)))
-        .join(years, "segment", "left")
-        .select(*KEY, "plan", "big_gap", "top_total", "soz", "top", "ordered", F.expr(_every_quantile()))
+        rows.join(years, "segment", "left")
+        .select(*keys, "soz", "top", "ordered", F.expr(_every_quantile()))
         .withColumn("raised", F.expr(_uplifted("q")))
     )
     big = is_big("raised", current_share("raised"))
-    sums = raised.groupBy(*KEY, "plan", "big_gap", "top_total", "q").agg(
+    sums = raised.groupBy(*keys, "q").agg(
         F.expr(f"double({total_of('raised')}) as total"),
+        F.expr(f"double({total_of('top')}) as top_sum"),
         F.expr(f"double({total_of(f'if({big}, raised, null)')}) as big"),
     )
-    branches = sums.groupBy(*KEY, "plan", "big_gap", "top_total").agg(
+    return sums.groupBy(*keys).agg(
         F.expr("min(if(total > plan, struct(q, total), null)) as stop"),
+        F.expr("max(top_sum) as top_sum"),
         F.expr("max_by(total, q) as final_total"),
         F.expr("max_by(big, q) as final_big"),
     )
+
+
+QUANTILE_FACTOR = "try_divide(plan - top_sum, stop.total - top_sum)"
+
+
+def _quantile_decisions(rows: DataFrame, undecided: DataFrame, years: DataFrame) -> DataFrame:
+    """Decisions of the branches that no earlier stage brought to the plan."""
+    open_rows = _lifted(rows.join(undecided.select(*KEY, "big_gap"), list(KEY)))
+    branches = _quantile_sums(open_rows, years, (*KEY, "plan", "big_gap"))
     rules = {
-        "quantile": ("stop is not null", "try_divide(plan - top_total, stop.total - top_total)"),
+        "quantile": ("stop is not null", QUANTILE_FACTOR),
         "big_last": (
             "1D - try_divide(final_total, plan) <= big_gap",
             "try_divide(plan - final_total, final_big)",
@@ -297,6 +319,44 @@ def allocate(
     return settled(early).unionByName(settled(late)).unionByName(unplanned), decisions
 
 
+def stretch_upper_bands(
+    rows: DataFrame, plans: DataFrame, level: AllocationLevel = AllocationLevel(level=0)
+) -> DataFrame:
+    """The upper-band stage alone on every branch; without a passing band all bands are lifted."""
+    planned = with_levels(with_plan(rows, plans), [level])
+    decided = stage(_branch_sums(planned, True), "band-sums").selectExpr(
+        "sale_loc", "stop.band as stop_band", f"{BAND_FACTOR} as factor"
+    )
+    moved = stretched("base", "if(band <= stop_band, top, base)")
+    return (
+        _lifted(planned)
+        .join(decided, "sale_loc")
+        .selectExpr(
+            "segment",
+            "sale_loc",
+            "stop_band is not null as passed",
+            "stop_band",
+            f"if(stop_band is null, top, {moved}) as target",
+        )
+    )
+
+
+def uplift_to_quantiles(rows: DataFrame, plans: DataFrame, years: DataFrame) -> DataFrame:
+    """The quantile stage alone on every branch; without a passing one the last is kept."""
+    planned = with_plan(rows, plans).withColumn("top", F.col("target"))
+    sums = stage(_quantile_sums(planned, years, ("sale_loc", "plan")), "quantile-sums")
+    decided = sums.selectExpr("sale_loc", "stop.q as stop_quantile", f"{QUANTILE_FACTOR} as factor")
+    found = planned.join(decided, "sale_loc").join(years, "segment", "left")
+    moved = stretched("top", _uplifted("stop_quantile"))
+    return found.selectExpr(
+        "segment",
+        "sale_loc",
+        "stop_quantile is not null as passed",
+        "stop_quantile",
+        f"if(stop_quantile is null, {_uplifted(str(LAST_QUANTILE))}, {moved}) as target",
+    )
+
+
 def branch_status(result: DataFrame, decisions: DataFrame) -> DataFrame:
     """Per branch: level, stage, outcome, allocated total and plan."""
     totals = result.groupBy("sale_loc", "stage", "level").agg(

@@ -186,6 +186,26 @@ def ratchet_decisions(
     )
 
 
+def ratchet_fill(
+    rows: DataFrame, plans: DataFrame, border: float, step: float, keep_border_fill: bool = False
+) -> DataFrame:
+    """The ratchet alone on every branch; without a passing band all bands are taken."""
+    planned = with_plan(rows, plans)
+    decisions = stage(ratchet_decisions(planned, border, [step], [0], keep_border_fill), "own-ratchet")
+    found = _with_path(planned.join(decisions.drop("plan"), "sale_loc"), border, [step])
+    return found.withColumn("_new", F.expr(_ratchet_target(border, keep_border_fill))).selectExpr(
+        "segment", "sale_loc", "stage = 'ratchet' as passed", "stop_band", "_new as target"
+    )
+
+
+def _ratchet_target(border: float, keep_border_fill: bool) -> str:
+    """New target under a ratchet decision: the share at the stop band, or at the last band."""
+    bands = ratchet_bands(border)
+    reached = f"get(path, if(stage = 'ratchet', stop_band, {bands[-1]}) - {bands[0]})"
+    value = share_value(reached, keep_border_fill, border)
+    return f"if(stage = 'ratchet', {stretched('target', value)}, {value})"
+
+
 def own_brand_decisions(
     planned: DataFrame, border: float, steps: Sequence[float], keep_border_fill: bool = False
 ) -> DataFrame:
@@ -223,19 +243,14 @@ def allocate_own_brand(
     """
     steps = list(steps or own_brand_steps())
     border = ctx.own_brand_border
-    bands = ratchet_bands(border)
     planned = with_plan(prepared, plans)
     decisions = own_brand_decisions(planned, border, steps, keep_border_fill)
     keyed = planned.join(decisions.drop("plan"), "sale_loc")
 
     by_path = F.col("stage").isin("ratchet", "failed")
     direct = keyed.filter(~by_path).withColumn("_new", F.expr(_border_target(border)))
-    reached = F.expr(f"get(path, if(stage = 'ratchet', stop_band, {bands[-1]}) - {bands[0]})")
-    value = share_value("share", keep_border_fill, border)
-    late = (
-        _with_path(keyed.filter(by_path), border, steps)
-        .withColumn("share", reached)
-        .withColumn("_new", F.expr(f"if(stage = 'ratchet', {stretched('target', value)}, {value})"))
+    late = _with_path(keyed.filter(by_path), border, steps).withColumn(
+        "_new", F.expr(_ratchet_target(border, keep_border_fill))
     )
     unplanned = prepared.join(plans.select("sale_loc"), "sale_loc", "left_anti").selectExpr(
         "*", "target as _new", "cast(null as int) as level", "'no_plan' as stage"

@@ -151,12 +151,20 @@ def stretch_stage(
 
 
 def fill_big_clients(
-    rows: DataFrame, plans: DataFrame, level: AllocationLevel = AllocationLevel(level=0)
+    rows: DataFrame,
+    plans: DataFrame,
+    level: AllocationLevel = AllocationLevel(level=0),
+    finish: bool = False,
 ) -> DataFrame:
-    """Give a small gap to the big clients of the branch in proportion."""
+    """Give the gap to the big clients of the branch in proportion.
+
+    At the start the gap must be small against the big clients, at the finish against the plan.
+    """
     raised = f"if({is_big('target', 'share')}, target * 2, target)"
     gap = "try_divide(plan - total, raised_total - total)"
-    return _fill(_prepared(rows, plans, level), raised, f"({gap} > 0 and {gap} < {BIG_CLIENT_GAP!r}D)")
+    start = f"({gap} > 0 and {gap} < {BIG_CLIENT_GAP!r}D)"
+    end = f"(1D - try_divide(total, plan) <= {level.big_gap!r}D)"
+    return _fill(_prepared(rows, plans, level), raised, end if finish else start)
 
 
 def scale_down(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from salesloom.context import AllocationLevel, PlanContext
 from salesloom.operators.allocation import allocate, branch_status, client_year
+from salesloom.operators.boosting import Family, fit_families
 from salesloom.operators.moving_average import moving_average_scores
 from salesloom.operators.segments import class_forecasts
 from salesloom.operators.selection import choose_models, selection_facts
@@ -34,6 +35,16 @@ class PlanResult:
     cards: DataFrame
 
 
+def boosted(families: Sequence[Family], shift: int = 1, threads: int = 4) -> ModelFamilies:
+    """Model families to pass to :func:`entire_plan`: one boosted model per client cluster."""
+
+    def scores(classed: DataFrame, cards: DataFrame, sources: Sources, ctx: PlanContext) -> list[DataFrame]:
+        fitted = fit_families(active_panel(classed), cards, sources.calendar, families, ctx, shift, threads)
+        return [result.scores for result in fitted]
+
+    return scores
+
+
 def client_forecast(
     classed: DataFrame, ctx: PlanContext, low: float, extra_scores: Sequence[DataFrame] = ()
 ) -> DataFrame:
@@ -67,6 +78,7 @@ def entire_plan(
     plans = stage(branch_plans_for(sources.branch_plans, "entire", ctx), "entire-plans")
     years = client_year(classed.filter("segment_class in ('active', 'rare')"), ctx)
     raw, decisions = allocate(wallet, plans, years, levels)
+    raw = stage(raw, "entire-raw")
     return PlanResult(
         result=raw.select("segment", "target", "sale_loc"),
         raw=raw,

@@ -22,6 +22,7 @@ def own_brand_plan(ctx: PlanContext, sources: Sources, entire: PlanResult) -> Pl
     )
     plans = stage(branch_plans_for(sources.branch_plans, "own_brand", ctx), "own-plans")
     raw, decisions = allocate_own_brand(prepared, plans, ctx)
+    raw = stage(raw, "own-raw")
     return PlanResult(
         result=raw.select("segment", "target", "sale_loc"),
         raw=raw,
