@@ -538,7 +538,7 @@ def _own_ratchet(states: str, stops: str, choose: bool) -> str:
     picked = f"SELECT *, row_number() OVER (PARTITION BY sale_loc ORDER BY {order}) AS k FROM {stops}"
     return f"""
 SELECT w.segment, w.sale_loc, w.level, k.n_stop,
-       CASE WHEN k.n_stop IS NULL THEN w.value ELSE t + (w.value - t) * (w.b - k.s) / nullif(z.c - k.s, 0) END AS target
+       CASE WHEN k.n_stop IS NULL THEN w.value ELSE t + (w.value - t) * coalesce((w.b - k.s) / nullif(z.c - k.s, 0), 0) END AS target
 FROM {states} w JOIN ({picked}) k ON k.sale_loc = w.sale_loc AND k.level = w.level AND k.k = 1
      AND w.n = coalesce(k.n_stop, 96)
 JOIN (SELECT sale_loc, level, n, {total('value')} AS c FROM {states} GROUP BY ALL) z
@@ -565,8 +565,7 @@ CTES["own_allocated_after"] = _own_allocated(
     "own_rows_after", "own_border_after", "own_ratchet_after", "own_prepared_after"
 )
 
-NAMES = re.compile(r"\b(" + "|".join(sorted(CTES, key=len, reverse=True)) + r")\b")
-# names that are also column names: only a table position counts
+# some names are also column names: only a table position counts
 TABLE_POSITION = re.compile(r"(?:FROM|JOIN)\s+(" + "|".join(sorted(CTES, key=len, reverse=True)) + r")\b")
 
 
@@ -736,7 +735,7 @@ BODIES: dict[str, str] = {
         SELECT w.segment, w.sale_loc, k.band_stop IS NOT NULL AS passed, CAST(k.band_stop AS INT) AS stop_band, {r('''
           CASE WHEN k.band_stop IS NULL THEN top
                ELSE base + (CASE WHEN band <= k.band_stop THEN top ELSE base END - base)
-                    * (plan - s.base_total) / nullif(k.band_total - s.base_total, 0) END''', 4)} AS target
+                    * coalesce((plan - s.base_total) / nullif(k.band_total - s.base_total, 0), 0) END''', 4)} AS target
         FROM band_rows w LEFT JOIN one_band_stop k ON k.sale_loc = w.sale_loc
         JOIN (SELECT sale_loc, {total('base')} AS base_total FROM band_rows GROUP BY sale_loc) s ON s.sale_loc = w.sale_loc""",
     "big_client_fill": stage_sql(
@@ -748,15 +747,15 @@ BODIES: dict[str, str] = {
     ),
     "scale_down": stage_sql("(t * 2)", "b / nullif(s, 0) < 1"),
     "quantile_uplift": f"""
-        WITH x AS (SELECT w.segment, w.sale_loc, w.t, w.plan, n.q, {_uplift('w.t')} AS u
+        SELECT * FROM (WITH x AS (SELECT w.segment, w.sale_loc, w.t, w.plan, n.q, {_uplift('w.t')} AS u
                    FROM base_rows w CROSS JOIN (SELECT unnest(range(30, 80)) AS q) n
                    LEFT JOIN quantiles z ON z.segment = w.segment AND z.q = n.q),
              a AS (SELECT sale_loc, plan, q, {total('t')} AS s, {total('u')} AS c FROM x GROUP BY ALL),
              k AS (SELECT sale_loc, min(CASE WHEN c > plan THEN q END) AS q_stop FROM a GROUP BY sale_loc)
         SELECT x.segment, x.sale_loc, q_stop IS NOT NULL AS passed, CAST(q_stop AS INT) AS stop_quantile,
-               {r('CASE WHEN q_stop IS NULL THEN u ELSE t + (u - t) * (a.plan - s) / nullif(c - s, 0) END', 4)} AS target
+               {r('CASE WHEN q_stop IS NULL THEN u ELSE t + (u - t) * coalesce((a.plan - s) / nullif(c - s, 0), 0) END', 4)} AS target
         FROM x JOIN k ON k.sale_loc = x.sale_loc AND x.q = coalesce(q_stop, 79)
-        JOIN a ON a.sale_loc = x.sale_loc AND a.q = x.q""",
+        JOIN a ON a.sale_loc = x.sale_loc AND a.q = x.q)""",
     "branch_allocation": _moved("allocated", "CAST(level AS INT) AS level", "stage"),
     "branch_status": _status("allocated", "entire_plans"),
     "own_brand_prepare": f"""SELECT segment, sale_loc, {r('t', 4)} AS target, {r('mean3', 4)} AS entire_mean,

@@ -21,6 +21,7 @@ from salesloom.context import (
 )
 from salesloom.functions import padded_sorted
 from salesloom.operators.stretch import (
+    FIRST_BAND,
     STAGES,
     band_of,
     band_start,
@@ -113,13 +114,17 @@ def _branch_sums(rows: DataFrame, strict_bands: bool) -> DataFrame:
         )
     )
     branch = Window.partitionBy(*KEY)
-    upto = F.sum("base_total").over(branch) + F.sum("gain").over(branch.orderBy("band"))
+    first_gain = f"coalesce(double(sum(if(band = {FIRST_BAND}, gain, null))), 0D)"
+    at_first = f"struct({FIRST_BAND} as band, max(upto_base) + {first_gain} as upto)"
+    at_later = "min(if(band > 0 and upto > plan, struct(band, upto), null))"
+    base, gains = F.sum("base_total").over(branch), F.sum("gain").over(branch.orderBy("band"))
     return (
-        cells.withColumn("upto", upto.cast("double"))
+        cells.withColumns({"upto_base": base.cast("double"), "upto": (base + gains).cast("double")})
         .groupBy(*KEY, "plan", "big_gap")
         .agg(
             *[F.expr(f"coalesce(double(sum({name})), 0D) as {name}") for name in added],
-            F.expr("min(if(band > 0 and upto > plan, struct(band, upto), null)) as stop"),
+            # without a test before it, the first band already passes where the base does
+            F.expr(f"if(max(upto_base) > plan, {at_first}, {at_later}) as stop"),
         )
     )
 

@@ -7,13 +7,14 @@ built on them grows with the tables.
 from __future__ import annotations
 
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from salesloom.context import COMMERCE_ACTIVITY, PlanContext
 from salesloom.operators.month_calendar import day_spine
-from salesloom.sources.tables import Sources
 
 FIXTURE_CONTEXT = PlanContext(plan_month=date(2001, 8, 1), history_start=date(1995, 1, 1))
 FIXED_HOLIDAYS = (
@@ -28,8 +29,14 @@ FIXED_HOLIDAYS = (
 RECODE = [("NATION_22", "NATION_0"), ("NATION_23", "NATION_1"), ("NATION_24", "NATION_2")]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    path = f"{root}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def shipments(spark: SparkSession, root: str) -> DataFrame:
@@ -191,15 +198,48 @@ def calendar(spark: SparkSession, ctx: PlanContext = FIXTURE_CONTEXT) -> DataFra
     )
 
 
-def fixture_sources(spark: SparkSession, root: str) -> Sources:
-    return Sources(
-        shipments=shipments(spark, root),
-        products=products(spark, root),
-        plan_links=plan_links(spark, root),
-        customers=customers(spark, root),
-        partners=partners(spark, root),
-        site_branch=site_branch(spark, root),
-        branch_plans=branch_plans(spark, root),
-        branch_recode=spark.createDataFrame(RECODE, "old string, new string"),
-        calendar=calendar(spark),
-    )
+class FixtureSources:
+    """The tables of :class:`Sources`, each built when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self._spark, self._root = spark, root
+
+    @cached_property
+    def shipments(self) -> DataFrame:
+        return shipments(self._spark, self._root)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return products(self._spark, self._root)
+
+    @cached_property
+    def plan_links(self) -> DataFrame:
+        return plan_links(self._spark, self._root)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return customers(self._spark, self._root)
+
+    @cached_property
+    def partners(self) -> DataFrame:
+        return partners(self._spark, self._root)
+
+    @cached_property
+    def site_branch(self) -> DataFrame:
+        return site_branch(self._spark, self._root)
+
+    @cached_property
+    def branch_plans(self) -> DataFrame:
+        return branch_plans(self._spark, self._root)
+
+    @cached_property
+    def branch_recode(self) -> DataFrame:
+        return self._spark.createDataFrame(RECODE, "old string, new string")
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return calendar(self._spark)
+
+
+def fixture_sources(spark: SparkSession, root: str) -> FixtureSources:
+    return FixtureSources(spark, root)
