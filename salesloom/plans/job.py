@@ -12,7 +12,7 @@ from salesloom.operators.boosting import absolute_family, squared_family
 from salesloom.operators.tuning import SearchBudget
 from salesloom.plans.entire import boosted, entire_plan
 from salesloom.plans.own_brand import own_brand_plan
-from salesloom.session import build_session
+from salesloom.session import build_session, drop_staged
 from salesloom.sources.tables import Sources, read_plan_month, write_result
 
 
@@ -53,6 +53,7 @@ def run(args: argparse.Namespace) -> None:
         "status_own_brand": own.status,
     }.items():
         write_result(table, f"{args.output}/{name}", args.output_format)
+    drop_staged(spark)
 
 
 if __name__ == "__main__":

@@ -15,7 +15,7 @@ DEFAULTS = {
     # call-site capture costs several JVM calls per column expression
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # upper size of a join side that Spark may broadcast; it compares file or shuffle sizes
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
 
@@ -39,6 +39,22 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/staged/{spark.sparkContext.applicationId}"
+
+
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new folder below this application's part of the shared folder."""
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete this application's staged tables; tables read from them are unusable afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(path, True)
+
+
 def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -46,7 +62,7 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     the planner the true size, so small tables are broadcast and large ones are not.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    path = staged_path(spark, name)
     if partition_by:
         # splits a hot value over several tasks and packs the small ones together
         df = df.hint("rebalance", partition_by)
