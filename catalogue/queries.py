@@ -13,11 +13,10 @@ from salesloom.operators import allocation, boosting, categories, clusters, feat
 from salesloom.operators import own_brand as own
 from salesloom.operators import selection, stretch
 from salesloom.operators.month_calendar import with_month_days
-from salesloom.operators.panel import common_grid, monthly_own_brand, monthly_shipments, year_grid
+from salesloom.operators.panel import common_grid, monthly_own_brand, monthly_shipments, with_card, year_grid
 from salesloom.operators.segments import class_forecasts, segment_classes
-from salesloom.operators.tuning import TreeParams
+from salesloom.operators.tuning import SearchBudget, SearchSpace, TreeParams
 from salesloom.operators.wallet import wallet_share
-from salesloom.operators.panel import with_card
 from salesloom.plans.entire import boosted, client_forecast, entire_plan
 from salesloom.plans.own_brand import own_brand_plan
 from salesloom.plans.panels import active_panel, cards_of, load_panel
@@ -32,7 +31,8 @@ from salesloom.sources.loaders import (
 
 CTX = fixtures.FIXTURE_CONTEXT
 # small trees keep the many cluster fits of a check run short; all clients and months are used
-CHECK_TREES = TreeParams(trees=3, depth=3)
+CHECK_TREES = TreeParams(trees=2, depth=2)
+CHECK_SPACE = SearchSpace((0.05, 0.3), (1, 2), (1, 2), (0.5, 1.0))
 
 
 def rounded(name: str, digits: int = 6) -> Column:
@@ -334,6 +334,14 @@ def feature_importances(i: Inputs) -> DataFrame:
     return found.importances.orderBy("comb", F.desc("importance"), "feature")
 
 
+@query
+def parameter_search_trials(i: Inputs) -> DataFrame:
+    cards = stage(i.cards, "cards")
+    family = boosting.Family("lgb_ms", "squared", False, CHECK_SPACE, CHECK_TREES, SearchBudget(1, 1, 0))
+    (found,) = boosting.fit_families(i.active, cards, i.sources.calendar, [family], CTX, threads=8)
+    return found.trials
+
+
 # --- allocation to branch plans ---
 
 

@@ -27,12 +27,14 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     month.add_argument("--plan-month-file", help="one-row CSV with the column plan_month_fact")
     parser.add_argument("--history-start", default="2017-11-01")
     parser.add_argument("--models", choices=("sma", "boosted", "tuned"), default="boosted")
+    parser.add_argument("--shuffle-partitions", help="initial count; adaptive execution merges small ones")
     parser.add_argument("--threads", type=int, default=4, help="clusters fitted at a time")
     return parser.parse_args(argv)
 
 
 def run(args: argparse.Namespace) -> None:
-    spark = build_session("monthly-sales-plan")
+    conf = {"spark.sql.shuffle.partitions": args.shuffle_partitions} if args.shuffle_partitions else {}
+    spark = build_session("monthly-sales-plan", **conf)
     month = args.plan_month or read_plan_month(spark, args.plan_month_file)
     history = PlanContext.from_month(args.history_start).plan_month
     ctx = PlanContext.from_month(month, history_start=history)

@@ -29,13 +29,18 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset a temporary folder serves, but in local mode only: on a cluster other
+    machines could not read it.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="salesloom-"))
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="salesloom-"))
     return context.getCheckpointDir()
 
 
