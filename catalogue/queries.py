@@ -299,7 +299,8 @@ def sma_backtest(i: Inputs) -> DataFrame:
 
 
 def _chosen(i: Inputs) -> DataFrame:
-    return selection.choose_models(i.scores, selection.selection_facts(i.active_target, CTX))
+    active = i.classed.filter("segment_class = 'active'")
+    return selection.choose_models(i.scores, selection.selection_facts(active, CTX))
 
 
 @query

@@ -210,23 +210,6 @@ def _quantile_decisions(rows: DataFrame, undecided: DataFrame, years: DataFrame)
     )
 
 
-def branch_decisions(
-    rows: DataFrame,
-    years: DataFrame,
-    levels: Sequence[AllocationLevel],
-    strict_bands: bool = True,
-) -> DataFrame:
-    """Stage, stretch factor and outcome per (branch, level), from staged tables."""
-    leveled = with_levels(rows, levels)
-    first = stage(_first_decisions(leveled, strict_bands), "branch-decisions")
-    undecided = first.filter("stage is null")
-    decided = first.filter("stage is not null").select(*DECISION)
-    if undecided.isEmpty():
-        return decided
-    late = stage(_quantile_decisions(leveled, undecided, years), "branch-decisions")
-    return decided.unionByName(late)
-
-
 def first_passing(decisions: DataFrame) -> DataFrame:
     """Per branch the lowest level that passes, else the last level."""
     order = F.expr("if(stage <> 'failed', level, 10000 - level)")
@@ -234,24 +217,28 @@ def first_passing(decisions: DataFrame) -> DataFrame:
     return decisions.groupBy("sale_loc").agg(kept.alias("kept")).select("kept.*")
 
 
-def chosen_decisions(
+def branch_decisions(
     rows: DataFrame,
     years: DataFrame,
     levels: Sequence[AllocationLevel],
     strict_bands: bool = True,
 ) -> DataFrame:
-    """One decision per branch: the first level that passes, else the last one.
+    """Level, stage and stretch factor of each branch, as a staged table.
 
-    Every level starts from the same forecast, so the retries of the branches that missed the
-    first level are evaluated together.
+    Every level starts from the same forecast, so all are tried in one pass and the first that
+    passes is kept. Only levels below a branch's first early pass go on to the quantiles.
     """
-    base = branch_decisions(rows, years, levels[:1], strict_bands)
-    missed = base.filter("stage = 'failed'")
-    if len(levels) == 1 or missed.isEmpty():
-        return base
-    again = rows.join(missed.select("sale_loc"), "sale_loc", "left_semi")
-    retried = first_passing(branch_decisions(again, years, levels[1:], strict_bands))
-    return stage(base.filter("stage <> 'failed'").unionByName(retried), "chosen-decisions")
+    leveled = with_levels(rows, levels)
+    first = stage(_first_decisions(leveled, strict_bands), "early-decisions")
+    passing = F.min(F.expr("if(stage is not null, level, null)")).over(Window.partitionBy("sale_loc"))
+    open_levels = first.withColumn("_passing", passing).filter(
+        "stage is null and (_passing is null or level < _passing)"
+    )
+    found = first.filter("stage is not null").select(*DECISION)
+    if not open_levels.isEmpty():
+        open_levels = stage(open_levels.drop("_passing"), "open-levels")
+        found = found.unionByName(_quantile_decisions(leveled, open_levels, years))
+    return stage(first_passing(found), "branch-decisions")
 
 
 def _by_stage(values: dict[str, str]) -> str:
@@ -303,7 +290,7 @@ def allocate(
     """
     levels = list(levels or entire_levels())
     rows = with_plan(wallet, plans)
-    decisions = chosen_decisions(rows, years, levels, strict_bands)
+    decisions = branch_decisions(rows, years, levels, strict_bands)
     lifted = _lifted(with_own_level(rows.join(decisions.drop("plan"), "sale_loc"), levels))
     by_quantile = F.col("stage").isin(*LATE_STAGES)
     early = lifted.filter(~by_quantile).withColumn("_new", F.expr(_early_target(strict_bands)))

@@ -211,22 +211,19 @@ def own_brand_decisions(
 ) -> DataFrame:
     """One decision per branch: scale-down, border fill, or the first ratchet level that passes.
 
-    Scale-down and border fill do not depend on the level, so only the ratchet is retried.
+    Scale-down and border fill do not depend on the level, so only the ratchet has levels, which
+    are tried in one pass.
     """
     first = stage(_border_decisions(planned, border), "own-border")
     done = first.filter("stage <> 'open'").selectExpr(
         "sale_loc", "0 as level", "plan", "stage", "factor", "cast(null as int) as stop_band"
     )
-    current, last = first.filter("stage = 'open'"), len(steps) - 1
-    for levels in ([0], list(range(1, len(steps)))):
-        if not levels or current.isEmpty():
-            break
-        rows = planned.join(current.select("sale_loc"), "sale_loc", "left_semi")
-        found = first_passing(ratchet_decisions(rows, border, steps, levels, keep_border_fill))
-        found = stage(found.select(*DECISION), "own-ratchet")
-        done = done.unionByName(found if levels[-1] == last else found.filter("stage <> 'failed'"))
-        current = found.filter("stage = 'failed'")
-    return done
+    open_branches = first.filter("stage = 'open'").select("sale_loc")
+    if open_branches.isEmpty():
+        return done
+    rows = planned.join(open_branches, "sale_loc", "left_semi")
+    tried = ratchet_decisions(rows, border, steps, range(len(steps)), keep_border_fill)
+    return done.unionByName(stage(first_passing(tried.select(*DECISION)), "own-ratchet"))
 
 
 def allocate_own_brand(

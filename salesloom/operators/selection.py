@@ -7,18 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.context import BOOSTING_MODELS, SMA_FALLBACK, PlanContext
+from salesloom.context import BOOSTING_MODELS, SMA_FALLBACK, PlanContext, shift_months
 from salesloom.functions import absolute_percentage_error, blended_error, exact_quantiles, ratio, whole
 
 
 def selection_facts(panel: DataFrame, ctx: PlanContext) -> DataFrame:
-    """Least and greatest month after the year start, and the holdout month's sales."""
-    last_year = F.when(F.col("month") > F.lit(ctx.year_from), F.col("target"))
-    held_out = F.when(F.col("month") == F.lit(ctx.holdout), F.col("target"))
-    return panel.groupBy("segment").agg(
-        F.min(last_year).alias("least"),
-        F.max(last_year).alias("greatest"),
-        F.coalesce(F.sum(held_out), F.lit(0)).alias("actual"),
+    """Least and greatest month after the year start, and the holdout month's sales.
+
+    Months missing between a client's first and last one count as zero. Comparing the months
+    seen with the months spanned tells whether there are any, so no gap is filled for this.
+    """
+    sales = F.coalesce("target", F.lit(0))
+    start = shift_months(ctx.year_from, 1)
+    in_year, held_out = F.col("month") >= F.lit(start), F.col("month") == F.lit(ctx.holdout)
+    seen = panel.groupBy("segment").agg(
+        F.greatest(F.min("month"), F.lit(start)).alias("_from"),
+        F.max("month").alias("_to"),
+        F.count_if(in_year).alias("_seen"),
+        F.min(F.when(in_year, sales)).alias("_min"),
+        F.max(F.when(in_year, sales)).alias("_max"),
+        F.coalesce(F.sum(F.when(held_out, sales)), F.lit(0)).alias("actual"),
+    )
+    gaps = F.col("_seen") < F.months_between("_to", "_from") + 1
+    return seen.select(
+        "segment",
+        F.when(gaps, F.least("_min", F.lit(0))).otherwise(F.col("_min")).alias("least"),
+        F.when(gaps, F.greatest("_max", F.lit(0))).otherwise(F.col("_max")).alias("greatest"),
+        "actual",
     )
 
 

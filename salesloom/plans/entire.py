@@ -50,11 +50,10 @@ def client_forecast(
 ) -> DataFrame:
     """Model forecast of active clients and class forecast of the others."""
     active = classed.filter("segment_class = 'active'")
-    # months without a row count as zero there, so the gaps need no filling
-    scores = moving_average_scores(active, ctx)
+    # both count months without a row as zero, so the gaps need no filling
+    scores, facts = moving_average_scores(active, ctx), selection_facts(active, ctx)
     for extra in extra_scores:
         scores = scores.unionByName(extra.select(*scores.columns))
-    facts = selection_facts(active_panel(classed, target_only=True), ctx)
     chosen = choose_models(scores, facts)
     others = class_forecasts(classed, ctx, low)
     return chosen.select("segment", chosen["target"].cast("double").alias("target")).unionByName(others)

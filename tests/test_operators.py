@@ -248,10 +248,18 @@ def test_selection(spark):
     }
 
 
-def test_selection_facts_use_gap_filled_months_after_the_year_start(spark):
-    df = fill_gaps(panel(spark, [(1, m(12), 1), (1, m(11), 50), (1, m(9), 70), (1, m(1), 60)]))
-    row = selection.selection_facts(df, CTX).first()
-    assert (row["least"], row["greatest"], row["actual"]) == (0, 70, 60)
+def test_selection_facts_count_gaps_after_the_year_start(spark):
+    rows = [(1, m(12), 1), (1, m(11), 50), (1, m(9), 70), (1, m(1), 60)]  # gaps inside
+    rows += [(2, m(14), 1), *[(2, m(k), 10 + k) for k in range(1, 13)]]  # a gap before the year only
+    rows += [(3, m(4), -5), (3, m(2), -7), (4, m(3), 8), (5, m(20), 9), (6, m(30), 4), (6, m(2), 5)]
+    rows += [(7, m(5), None), (7, m(4), 3)]
+    sparse = panel(spark, rows)
+    found = {r["segment"]: tuple(r)[1:] for r in selection.selection_facts(sparse, CTX).collect()}
+    assert found == {
+        1: (0, 70, 60), 2: (11, 21, 11), 3: (-7, 0, 0), 4: (8, 8, 0), 5: (None, None, 0), 6: (0, 5, 0), 7: (0, 3, 0),
+    }
+    filled = selection.selection_facts(fill_gaps(sparse), CTX).collect()
+    assert {r["segment"]: tuple(r)[1:] for r in filled} == found
 
 
 def test_wallet_share(spark):
