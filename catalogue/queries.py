@@ -19,7 +19,7 @@ from salesloom.operators.tuning import SearchBudget, SearchSpace, TreeParams
 from salesloom.operators.wallet import wallet_share
 from salesloom.plans.entire import boosted, client_forecast, entire_plan
 from salesloom.plans.own_brand import own_brand_plan
-from salesloom.plans.panels import active_panel, cards_of, load_panel
+from salesloom.plans.panels import active_panel, cards_of, load_panel, sales_only
 from salesloom.session import stage
 from salesloom.sources import fixtures
 from salesloom.sources.loaders import (
@@ -69,7 +69,7 @@ class Inputs:
 
     @cached_property
     def wallet(self) -> DataFrame:
-        classed = stage(self.classed, "panel")
+        classed = stage(sales_only(self.classed), "panel")
         self.__dict__["classed"] = classed
         forecast = client_forecast(classed, CTX, CTX.low_value)
         branches = client_branches(self.sources.site_branch)

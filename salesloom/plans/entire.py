@@ -14,7 +14,7 @@ from salesloom.operators.moving_average import moving_average_scores
 from salesloom.operators.segments import class_forecasts
 from salesloom.operators.selection import choose_models, selection_facts
 from salesloom.operators.wallet import wallet_share
-from salesloom.plans.panels import active_panel, cards_of, load_panel
+from salesloom.plans.panels import active_panel, cards_of, load_panel, sales_only
 from salesloom.session import stage
 from salesloom.sources.loaders import branch_plans_for, client_branches
 from salesloom.sources.tables import Sources
@@ -67,7 +67,9 @@ def entire_plan(
 ) -> PlanResult:
     """Forecast every client and stretch the forecasts to the branch plans."""
     cards = stage(cards_of(sources, ctx), "cards")
-    classed = stage(load_panel(sources, ctx, "entire", cards), "entire-panel")
+    classed = load_panel(sources, ctx, "entire", cards)
+    # only the boosted families use more than the sales of a month
+    classed = stage(classed if families else sales_only(classed), "entire-panel")
     extra = families(classed, cards, sources, ctx) if families else ()
     forecast = client_forecast(classed, ctx, ctx.low_value, extra)
     wallet = stage(

@@ -29,6 +29,11 @@ def load_panel(sources: Sources, ctx: PlanContext, mode: str, cards: DataFrame |
     return with_segment_class(with_card(panel, cards), ctx, low)
 
 
+def sales_only(classed: DataFrame) -> DataFrame:
+    """Sales and class alone: the averages and the distinct product count are never computed."""
+    return classed.select("segment", "month", "target", "segment_class")
+
+
 def active_panel(classed: DataFrame, target_only: bool = False) -> DataFrame:
     """Gap-filled panel of the active clients."""
     active = classed.filter("segment_class = 'active'").drop("segment_class")
