@@ -2,7 +2,6 @@ from salesloom.functions.columns import (
     absolute_percentage_error,
     blended_error,
     clean_manager,
-    exact_sum,
     month_start,
     non_negative,
     ratio,
@@ -16,7 +15,6 @@ __all__ = [
     "blended_error",
     "clean_manager",
     "exact_quantiles",
-    "exact_sum",
     "month_start",
     "non_negative",
     "padded_sorted",

@@ -22,11 +22,6 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum that does not depend on row order, so plan comparisons repeat exactly."""
-    return F.sum(value.cast("decimal(28,9)")).cast("double")
-
-
 def non_negative(value: Column) -> Column:
     return F.greatest(value, F.lit(0.0))
 

@@ -10,6 +10,7 @@ import argparse
 from salesloom.context import PlanContext
 from salesloom.operators.boosting import absolute_family, squared_family
 from salesloom.operators.tuning import SearchBudget
+from salesloom.operators.wallet import default_recode
 from salesloom.plans.entire import boosted, entire_plan
 from salesloom.plans.own_brand import own_brand_plan
 from salesloom.session import build_session, drop_staged
@@ -27,6 +28,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     month.add_argument("--plan-month-file", help="one-row CSV with the column plan_month_fact")
     parser.add_argument("--history-start", default="2017-11-01")
     parser.add_argument("--models", choices=("sma", "boosted", "tuned"), default="boosted")
+    parser.add_argument("--default-recode", action="store_true", help="use the built-in closed branches")
     parser.add_argument("--shuffle-partitions", help="initial count; adaptive execution merges small ones")
     parser.add_argument("--threads", type=int, default=4, help="clusters fitted at a time")
     return parser.parse_args(argv)
@@ -38,7 +40,8 @@ def run(args: argparse.Namespace) -> None:
     month = args.plan_month or read_plan_month(spark, args.plan_month_file)
     history = PlanContext.from_month(args.history_start).plan_month
     ctx = PlanContext.from_month(month, history_start=history)
-    sources = Sources.read(spark, args.input, args.input_format)
+    given = {"branch_recode": default_recode(spark)} if args.default_recode else {}
+    sources = Sources.read(spark, args.input, args.input_format, **given)
     families = None
     if args.models != "sma":
         budget = SearchBudget() if args.models == "tuned" else None

@@ -67,8 +67,12 @@ class Sources:
     calendar: DataFrame
 
     @classmethod
-    def read(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> Sources:
-        return cls(**{name: read_table(spark, f"{root}/{name}", name, fmt) for name in SCHEMAS})
+    def read(cls, spark: SparkSession, root: str, fmt: str = "parquet", **given: DataFrame) -> Sources:
+        """One table per schema below ``root``; tables given by name are not read."""
+        named = {name: conform(df, name) for name, df in given.items()}
+        for name in SCHEMAS.keys() - named.keys():
+            named[name] = read_table(spark, f"{root}/{name}", name, fmt)
+        return cls(**named)
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:

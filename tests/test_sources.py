@@ -2,6 +2,8 @@ from datetime import date
 
 import pytest
 
+from salesloom.context import BRANCH_RECODE
+from salesloom.operators.wallet import default_recode
 from salesloom.sources.tables import SCHEMAS, Sources, conform, read_plan_month, read_table, write_result
 
 
@@ -31,6 +33,13 @@ def test_all_tables_are_read_from_one_folder(spark, tmp_path):
     assert sources.calendar.columns == SCHEMAS["calendar"].names
 
 
+def test_given_table_is_not_read(spark, tmp_path):
+    for name in SCHEMAS.keys() - {"branch_recode"}:
+        write_result(spark.createDataFrame([], SCHEMAS[name]), str(tmp_path / name), "parquet")
+    sources = Sources.read(spark, str(tmp_path), branch_recode=default_recode(spark))
+    assert {tuple(r) for r in sources.branch_recode.collect()} == set(BRANCH_RECODE.items())
+
+
 def test_plan_month_file(spark, tmp_path):
     path = tmp_path / "month.csv"
     path.write_text("plan_month_fact,other\n2023-10-01,x\n")
