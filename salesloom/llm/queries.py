@@ -10,9 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from .byte_bpe import encoding_digests
 from .common import table
 from .exact_dedup import exact_duplicates
+from .perplexity import quality_rules
+from .personal_data import personal_data_report
 from .token_counts import count_tokens
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -28,10 +34,16 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
     "op7_token_counts": op7_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLES: dict[str, str] = {
