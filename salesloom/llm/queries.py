@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .byte_bpe import encoding_digests
 from .common import table
 from .exact_dedup import exact_duplicates
+from .near_dedup import near_duplicates
 from .perplexity import quality_rules
 from .personal_data import personal_data_report
 from .token_counts import count_tokens
@@ -25,6 +26,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(docs, path, public_tokenizers.PATTERN)
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=4)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -41,6 +46,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
+    "op5_near_dedup": op5_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_personal_data": op10_personal_data,
