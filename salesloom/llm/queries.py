@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .byte_bpe import encoding_digests
 from .common import table
 from .exact_dedup import exact_duplicates
+from .mixing import mix
 from .near_dedup import near_duplicates
 from .perplexity import quality_rules
 from .personal_data import personal_data_report
@@ -26,6 +27,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(docs, path, public_tokenizers.PATTERN)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=4)
 
@@ -46,6 +51,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_mixing": op4_mixing,
     "op5_near_dedup": op5_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
