@@ -209,7 +209,6 @@ def rounded(rated: DataFrame, goals: DataFrame) -> DataFrame:
             "size",
             whole.alias("copies"),
             (hashed - F.round((F.col("rate") - whole) * one).cast("long")).alias("place"),
-            ((whole < CAP) & (F.col("size") > 0)).alias("open"),
         ),
         "placed",
     )
@@ -219,7 +218,7 @@ def rounded(rated: DataFrame, goals: DataFrame) -> DataFrame:
             goals.join(taken, "key").select("key", (F.col("target") - F.col("taken")).alias("left")),
             "left",
         )
-        fits = F.col("open") & (F.col("size") <= share * F.col("left"))
+        fits = (F.col("copies") < CAP) & F.col("size").between(1, share * F.col("left"))
         eligible = placed.join(left, "key").filter(fits).select("key", "size", "place")
         shifts = _first_fitting(eligible, left).join(left, "key")
         more = fits & (F.col("place") < F.col("shift"))
@@ -230,7 +229,6 @@ def rounded(rated: DataFrame, goals: DataFrame) -> DataFrame:
                 "size",
                 (F.col("copies") + F.coalesce(more, F.lit(False)).cast("long")).alias("copies"),
                 "place",
-                (F.col("open") & ~F.coalesce(more, F.lit(False))).alias("open"),
             ),
             "placed",
         )
