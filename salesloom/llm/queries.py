@@ -15,6 +15,7 @@ from .near_dedup import near_duplicates
 from .perplexity import quality_rules
 from .personal_data import personal_data_report
 from .token_counts import count_tokens
+from .toxicity import score_toxicity, train
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +28,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(docs, path, public_tokenizers.PATTERN)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
@@ -51,6 +57,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
     "op5_near_dedup": op5_near_dedup,
     "op7_token_counts": op7_token_counts,
