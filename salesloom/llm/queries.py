@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import encoding_digests
+from .chat_format import perspectives
 from .common import table
 from .exact_dedup import exact_duplicates
+from .html_text import extract_main_text
 from .mixing import mix
 from .near_dedup import near_duplicates
 from .perplexity import quality_rules
@@ -41,11 +43,19 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=4)
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -60,7 +70,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
     "op5_near_dedup": op5_near_dedup,
+    "op6_html_text": op6_html_text,
     "op7_token_counts": op7_token_counts,
+    "op8_chat_format": op8_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_personal_data": op10_personal_data,
 }
