@@ -18,8 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_or_empty(column: str = "text") -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
+def text_or_empty(column: str | Column = "text") -> Column:
+    return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
 def chunks(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -48,11 +48,12 @@ def map_texts(
 ) -> DataFrame:
     """Add the columns ``make`` derives from the texts; the text column itself is dropped.
 
-    ``schema`` names the added columns and their types. Works on one bounded chunk at a time.
+    ``schema`` names the added columns and their types; they replace columns of the same name. Works
+    on one bounded chunk at a time.
     """
-    kept = [c for c in df.columns if c != text]
-    source = df.select(*(F.col(f"`{c}`") for c in kept), F.col(text))
     added = arrow_fields(schema)
+    kept = [c for c in df.columns if c not in (text, *(n for n, _ in added))]
+    source = df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`"))
     out = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + [schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,6 +69,15 @@ def map_texts(
     return source.mapInArrow(run, out)
 
 
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose doc_id (null included) is in ``dropped``.
+
+    Merged at any size, as what is dropped grows with the documents.
+    """
+    ids = dropped.select(F.col("doc_id").alias("without_id")).distinct().hint("merge")
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["without_id"]), "left_anti")
+
+
 ARROW_TYPES = {
     "long": pa.int64(),
     "bigint": pa.int64(),

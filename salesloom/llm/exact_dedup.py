@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.session import stage
@@ -64,7 +64,7 @@ def golomb_decode(n: int, low: int, quotients: bytes, remainders: bytes) -> np.n
     return np.cumsum((high.astype(np.int64) << low | rest) + 1) - 1
 
 
-def normalised(text: str = "text"):
+def normalised(text: str | Column = "text") -> Column:
     return F.regexp_replace(text_or_empty(text), r"[\x20\x09-\x0D]+", " ")
 
 
@@ -192,8 +192,13 @@ def exact_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
 def drop_exact_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the rows that repeat an earlier text."""
     dropped = (
-        exact_duplicates(docs, text).filter("not kept").select(F.col("doc_id").alias("dropped_id"))
-    )
-    return docs.join(
-        dropped.distinct(), F.col("doc_id").eqNullSafe(F.col("dropped_id")), "left_anti"
+        exact_duplicates(docs.select("doc_id", F.col(text).alias("text")))
+        .filter("not kept")
+        .select(F.col("doc_id").alias("a"), F.col("text_sha256").alias("b"))
+        .distinct()
+        # merged at any size, as what is dropped grows with the documents
+        .hint("merge")
     )
+    # the text counts too: rows without a doc_id differ by it
+    same = docs["doc_id"].eqNullSafe(dropped["a"]) & (F.sha2(normalised(docs[text]), 256) == dropped["b"])
+    return docs.join(dropped, same, "left_anti")

@@ -259,7 +259,7 @@ def mix(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def apply_mix(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with each row as often as the mix takes it; rows it does not take are gone."""
-    copies = mix(docs, text).groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("copies").alias("mix_copies"))
-    taken = docs.join(copies.filter("mix_copies > 0"), F.col("doc_id").eqNullSafe(F.col("mixed_id")))
-    repeated = F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("mix_copy")
-    return taken.select(*docs.columns, repeated).drop("mix_copy")
+    copies = mix(docs, text).groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("copies").alias("n"))
+    each = copies.filter("n > 0").select("mixed_id", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    taken = docs.join(each.select("mixed_id").hint("merge"), docs["doc_id"].eqNullSafe(each["mixed_id"]))
+    return taken.select(*(docs[f"`{c}`"] for c in docs.columns))

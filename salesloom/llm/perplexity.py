@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from salesloom.session import stage
 
-from .common import chunks
+from .common import chunks, without
 
 ORDER = 5
 BITS = 12
@@ -418,8 +418,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def drop_low_quality(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that ``quality_rules`` rejects."""
-    rejected = quality_rules(docs).filter("not kept").select(F.col("doc_id").alias("rejected_id"))
-    return docs.join(
-        rejected.distinct(), F.col("doc_id").eqNullSafe(F.col("rejected_id")), "left_anti"
-    )
+    """``docs`` without the documents that ``quality_rules`` rejects.
+
+    Rows without a doc_id go too: nothing tells the kept ones among them from the others.
+    """
+    rejected = quality_rules(docs).filter("not kept or doc_id is null").select("doc_id")
+    return without(docs, rejected)

@@ -1,0 +1,186 @@
+"""Operators on single texts, against the tokenizer libraries and plain Python."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import pandas as pd
+import public_tokenizers as P
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from salesloom.llm import byte_bpe, chat_format, html_text, personal_data, perplexity, token_counts, toxicity
+from tests.conftest import DATA
+
+BYTE = P.path("byte_bpe_50k.tiktoken")
+WORDS = P.path("word_bpe_49k.json")
+
+
+def texts():
+    return [t for (t,) in duckdb.sql(f"SELECT text FROM '{DATA}/documents.parquet' ORDER BY doc_id").fetchall()]
+
+
+def odd_texts(extra=()):
+    random.seed(5)
+    signs = [*"aab  \n\t\x1c\x85 　éß'sLL12٣Ⅷ漢字😀́​ΣσİK½", "'re", "the", "ing", *extra]
+    made = ["".join(random.choice(signs) for _ in range(random.randint(0, 50))) for _ in range(1500)]
+    return [*made, "", " ", "a ", "a" * 3000, "ab" * 2000, "  a", "a \n b"]
+
+
+def test_byte_bpe_equals_library():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(BYTE, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    own = byte_bpe.Encoder(BYTE, P.PATTERN)
+    for some in (texts(), odd_texts()):
+        ids = own.encode(some)
+        assert ids == [library.encode_ordinary(t) for t in some]
+        assert [byte_bpe.decode(own.vocab, i).decode() for i in ids] == some
+
+
+def test_forest_keeps_leftmost_of_equal_ranks():
+    vocab = byte_bpe.vocabulary(BYTE)
+    piece = b"aaaaa"
+    assert byte_bpe.decode(vocab, byte_bpe.Forest(vocab, [piece], 8).merge()[0]) == piece
+
+
+def test_token_counts_equal_library():
+    library = Tokenizer.from_file(WORDS)
+    some = texts() + odd_texts(["<|endoftext|>", "<|startoftext|>", "<|"])
+    expected = [len(e.ids) for e in library.encode_batch(some, add_special_tokens=False)]
+    assert token_counts.Counter(WORDS).count(some) == expected
+
+
+def test_encoding_of_edge_rows(edge_docs, no_docs):
+    out = byte_bpe.encoding_digests(edge_docs, BYTE, P.PATTERN).toPandas()
+    assert len(out) == edge_docs.count()
+    empty = out[out.doc_id.isin([3, 4])]
+    assert set(empty.n_tokens) == {0}
+    assert set(empty.ids_sha256) == {hashlib.sha256(b"").hexdigest()}
+    ids = byte_bpe.decode_documents(byte_bpe.encode_documents(edge_docs, BYTE, P.PATTERN), BYTE)
+    decoded = {r.doc_id: bytes(r.decoded).decode() for r in ids.collect()}
+    given = {r.doc_id: r.text or "" for r in edge_docs.collect()}
+    assert {k: v for k, v in decoded.items() if k is not None} == {k: v for k, v in given.items() if k is not None}
+    counts = token_counts.count_tokens(edge_docs, WORDS).toPandas()
+    assert counts[counts.doc_id == 6].over_limit.all() and len(counts) == len(out)
+    assert byte_bpe.encoding_digests(no_docs, BYTE, P.PATTERN).count() == 0
+    assert token_counts.count_tokens(no_docs, WORDS).count() == 0
+
+
+def base_spans(text):
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append((m.start(), 0, m.end(), "email"))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            out.append((m.start(), 1, m.end(), "ip"))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub(r"\D", "", m[0])
+        doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+        if 12 <= len(digits) <= 19 and sum(d - 9 * (d > 9) for d in doubled) % 10 == 0:
+            out.append((m.start(), 2, m.end(), "card"))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub(r"\D", "", m[0])) <= 15:
+            out.append((m.start(), 3, m.end(), "phone"))
+    return sorted(out)
+
+
+def test_personal_data_equals_brute_force(spark, edge_docs, no_docs):
+    random.seed(6)
+    signs = ["4111 1111 1111 1111", "1.2.3.4", "256.1.1.1", "a@b.co", "x_@d.e", "@", ".", "+49 (30) 123-4567", "é", "😀", " ", "0", "7", "-", "_d", "user"]
+    made = ["".join(random.choice(signs) for _ in range(random.randint(1, 25))) for _ in range(400)]
+    rows = [(i, t) for i, t in enumerate(texts() + made)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = personal_data.personal_data_report(docs).toPandas().set_index("doc_id")
+    for i, text in rows:
+        spans = base_spans(text)
+        joined = ",".join(f"{k}:{s}:{e}" for s, _, e, k in spans)
+        assert out.base_sha256[i] == hashlib.sha256(joined.encode()).hexdigest(), text
+        counted = Counter(k for *_, k in spans)
+        assert [out[f"n_{k}"][i] for k in ("email", "ip", "card", "phone")] == [counted[k] for k in ("email", "ip", "card", "phone")]
+    assert personal_data.personal_data_report(edge_docs).filter("spans <> ''").count() == 0
+    assert personal_data.personal_data_report(no_docs).count() == 0
+
+
+def test_added_kinds_need_checksum_or_context(spark):
+    rows = [
+        (1, "pay to DE89 3704 0044 0532 0130 00 soon"),
+        (2, "pay to DE88 3704 0044 0532 0130 00 soon"),
+        (3, "please call 555-123-4567 today"),
+        (4, "the order 555-123-4567 today"),
+    ]
+    out = personal_data.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))
+    kinds = {r.doc_id: [f.kind for f in r.found] for r in out.collect()}
+    assert kinds == {1: ["iban"], 2: [], 3: ["number"], 4: []}
+
+
+@pytest.mark.parametrize("page", ["", "<p", "<!--", "<script>x", "</div></p>", "a < b & c"])
+def test_broken_pages_do_not_fail(page):
+    html_text.main_text(page)
+
+
+def test_main_text():
+    page = (
+        '<html><head><title>T</title></head><body><nav><a>Home</a></nav><div class="ad">Buy</div>'
+        "<article><h1>A &amp;\n B</h1><p><b>One<br>two<p>Three<!-- no --></p><div class='comments'>me</div>"
+        "<form>send</form></article><footer>&copy; x</footer></body></html>"
+    )
+    assert html_text.main_text(page) == "A & B\nOne\ntwo\nThree"
+    unmarked = "<div id=menu>m</div>" + "".join(f"<p>{'long text here ' * 20}{i}</p>" for i in range(5)) + "<div>x</div>"
+    kept = html_text.main_text(unmarked)
+    assert kept.count("long text here") == 100 and not kept.startswith("m")
+
+
+def test_pages_of_the_tables(spark, no_docs):
+    pages = spark.read.parquet(f"{DATA}/pages.parquet").withColumnRenamed("x", "x")
+    out = html_text.extract_main_text(pages).toPandas()
+    assert (out.n_chars == out.text.str.len()).all() and (out.n_chars > 0).all()
+    null = spark.createDataFrame([(1, None, None), (None, "u", "")], "page_id long, url string, html string")
+    assert set(html_text.extract_main_text(null).toPandas().text) == {""}
+
+
+def test_perspectives(spark):
+    rows = [
+        (1, 0, "system", "be kind"),
+        (1, 1, "ann", "hi <|end|>"),
+        (1, 2, "bob", None),
+        (1, 3, "ann", "bye"),
+        (2, None, None, "x"),
+        (3, 0, "system", "only"),
+    ] + [(4, i, "ann" if i % 2 else "bob", f"t{i}") for i in range(chat_format.SEGMENT + 3)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {(r.conv_id, r.participant, r.segment): r for r in chat_format.perspectives(turns).collect()}
+    assert sorted(k[:2] for k in out if k[0] < 4) == [(1, "ann"), (1, "bob"), (2, "unknown")]
+    one = out[1, "ann", 0]
+    assert one.rendered.startswith("<|system|>be kind<|end|>\n<|assistant|>hi <​|end|>")
+    assert "<|user|>bob: <|end|>" in one.rendered
+    spans = [tuple(map(int, s.split(":"))) for s in one.mask.split(",")]
+    assert [one.rendered[a:b] for a, b in spans] == ["hi <​|end|>", "bye"]
+    assert out[4, "ann", 0].n_turns == chat_format.SEGMENT and out[4, "ann", 1].n_turns == 3
+    assert chat_format.perspectives(turns.limit(0)).count() == 0
+
+
+def test_toxicity_learns_and_locates(spark, edge_docs, no_docs):
+    random.seed(7)
+    clean = [" ".join(random.choices("the red blue house walks far".split(), k=30)) + "." for _ in range(200)]
+    bad = [c + " You utter rascal. Good day." for c in clean[:60]]
+    model = toxicity.fit(clean + bad, [False] * 200 + [True] * 60)
+    score, places, n = model.score("A house. You utter rascal. The end.")
+    assert score >= 0.7 and n == 1
+    a, b = map(int, places.split(":"))
+    assert "A house. You utter rascal. The end."[a:b] == "You utter rascal"
+    assert model.score("the red house.")[0] < 0.1 and model.score("")[0] == 0
+    out = toxicity.score_toxicity(edge_docs, model).toPandas()
+    expected = [i is not None and not pd.isna(i) and zlib.crc32(str(int(i)).encode()) % 3 == 1 for i in out.doc_id]
+    assert list(out.held_out) == expected and out.score.between(0, 1).all()
+    assert toxicity.score_toxicity(no_docs, model).count() == 0
+
+
+def test_word_statistics():
+    text = "a b c a b c\n\nx\nx\n#$ z"
+    assert perplexity.word_statistics(text) == (10, 11, 2, 1, 6)
+    assert perplexity.word_statistics("") == (0, 0, 0, 0, 0)
