@@ -127,7 +127,7 @@ def _discounts(level: DataFrame) -> DataFrame:
     t = level.groupBy("lang").agg(
         *(c.alias(f"t{i}") for i, c in of.items()), F.count("*").alias("types")
     )
-    y = F.col("t1") / (F.col("t1") + 2 * F.col("t2"))
+    y = F.try_divide(F.col("t1"), F.col("t1") + 2 * F.col("t2"))
 
     def d(i: int):
         raw = F.try_divide(F.col(f"t{i + 1}"), F.col(f"t{i}"))
