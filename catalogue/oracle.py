@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 
-from salesloom.context import AllocationLevel, entire_levels, own_brand_steps
 
 P, HOLDOUT, CHURN, YEAR = "DATE '2001-08-01'", "DATE '2001-07-01'", "DATE '2001-05-01'", "DATE '2000-08-01'"
 START, END = "DATE '1995-01-01'", "DATE '2001-07-31'"
@@ -298,17 +297,15 @@ CTES["entire_plans"] = f"SELECT sale_loc, plan_value AS plan FROM fx_branch_plan
 CTES["own_plans"] = f"SELECT sale_loc, plan_value_stm AS plan FROM fx_branch_plans WHERE plan_month = {P}"
 
 
-def levels_cte(levels: list[AllocationLevel]) -> str:
-    rows = ", ".join(
-        f"({v.level}, {v.very_low}e0, {v.to_5}e0, {v.to_10}e0, {v.to_15}e0, {v.to_20}e0, {v.to_25}e0, {v.band_step}e0, {v.big_gap}e0)"
-        for v in levels
-    )
-    return f"SELECT * FROM (VALUES {rows}) x(level, p_low, p5, p10, p15, p20, p25, p_max, p_big)"
-
-
-CTES["params"] = levels_cte(entire_levels())
-CTES["base_params"] = levels_cte([AllocationLevel(level=0)])
-CTES["band_params"] = levels_cte([AllocationLevel(level=0, band_step=0.22)])
+# parameters of each attempt, written out here and not taken from the library
+_NAMES = "x(level, p_low, p5, p10, p15, p20, p25, p_max, p_big)"
+CTES["params"] = f"""
+SELECT * FROM (VALUES (0, 1.1e0, 0.1e0, 0.15e0, 0.2e0, 0.25e0, 0.25e0, 0.05e0, 0.15e0)) {_NAMES}
+UNION ALL
+SELECT i, 1.1e0 + i / 50e0, 0.1e0, 0.15e0 + i / 50e0, 0.2e0 + i / 50e0, 0.25e0 + i / 50e0, 0.25e0, 0.1e0 + i / 50e0, 0.18e0 + i / 50e0
+FROM (SELECT unnest([1, 2, 3, 4, 5, 6]) AS i)"""
+CTES["base_params"] = f"SELECT * FROM (VALUES (0, 1.1e0, 0.1e0, 0.15e0, 0.2e0, 0.25e0, 0.25e0, 0.05e0, 0.15e0)) {_NAMES}"
+CTES["band_params"] = f"SELECT * FROM (VALUES (0, 1.1e0, 0.1e0, 0.15e0, 0.2e0, 0.25e0, 0.25e0, 0.22e0, 0.15e0)) {_NAMES}"
 REACH = {"very_low": 0, "to_5": 1, "to_10": 2, "to_15": 3, "to_20": 3, "to_25": 5}
 BANDS = [(0.05, "p5"), (0.1, "p10"), (0.15, "p15"), (0.2, "p20"), (0.25, "p25")]
 
@@ -493,9 +490,9 @@ FROM (SELECT sale_loc, b, {total('t')} AS s, {total('v')} AS c FROM {rows} GROUP
 
 CTES["own_border"] = _own_border("own_rows")
 CTES["own_border_after"] = _own_border("own_rows_after")
-CTES["own_steps"] = "SELECT * FROM (VALUES {}) x(level, step)".format(
-    ", ".join(f"({k}, {s!r}e0)" for k, s in enumerate(own_brand_steps()))
-)
+CTES["own_steps"] = """
+SELECT 0 AS level, 0.015e0 AS step
+UNION ALL SELECT i, 0.02e0 + i / 50e0 FROM (SELECT unnest([1, 2, 3, 4, 5, 6]) AS i)"""
 CTES["one_step"] = "SELECT 0 AS level, 0.06e0 AS step"
 
 

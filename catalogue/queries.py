@@ -67,11 +67,14 @@ class Inputs:
     def scores(self) -> DataFrame:
         return moving_average.moving_average_scores(self.classed.filter("segment_class = 'active'"), CTX)
 
+    @cached_property
+    def sales(self) -> DataFrame:
+        """The classed panel with sales only, staged."""
+        return stage(sales_only(self.classed), "panel")
+
     @cached_property
     def wallet(self) -> DataFrame:
-        classed = stage(sales_only(self.classed), "panel")
-        self.__dict__["classed"] = classed
-        forecast = client_forecast(classed, CTX, CTX.low_value)
+        forecast = client_forecast(self.sales, CTX, CTX.low_value)
         branches = client_branches(self.sources.site_branch)
         return stage(wallet_share(forecast, self.cards, branches, self.sources.branch_recode), "wallet")
 
@@ -81,7 +84,8 @@ class Inputs:
 
     @cached_property
     def years(self) -> DataFrame:
-        return allocation.client_year(self.classed.filter("segment_class in ('active', 'rare')"), CTX)
+        clients = self.sales.filter("segment_class in ('active', 'rare')")
+        return stage(allocation.client_year(clients, CTX), "years")
 
     @cached_property
     def own_plans(self) -> DataFrame:
@@ -95,7 +99,7 @@ class Inputs:
         branches = client_branches(self.sources.site_branch)
         # the unallocated forecast of all goods stands in for the entire plan
         filled = own.fill_missing_clients(forecast, wallet, branches, CTX)
-        prepared = own.prepare_own_brand(filled, self.classed, classed, self.sources.branch_recode, CTX)
+        prepared = own.prepare_own_brand(filled, self.sales, classed, self.sources.branch_recode, CTX)
         return stage(prepared, "own-prepared")
 
 

@@ -51,8 +51,6 @@ GROUPED_CATEGORIES = (
     "federal",
     "inet_flag",
 )
-# card columns with too many values for that: manager and the client itself
-WIDE_CATEGORIES = ("manager", "segment")
 NUMERIC_CATEGORIES = (
     "value",
     "ltk",

@@ -8,9 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# up to this many values the built-in percentile (one buffer) is used as it is
-SINGLE_BUFFER_VALUES = 1_000_000
-# relative rank error of the sketch that brackets the wanted ranks beyond it
+# relative rank error of the sketch that brackets the wanted ranks
 SKETCH_ACCURACY = 20_000
 
 
@@ -20,12 +18,7 @@ def padded_sorted(values: Column, size: int) -> Column:
     return F.sort_array(F.concat(values, F.array_repeat(F.lit(0.0), missing)))
 
 
-def exact_quantiles(
-    df: DataFrame,
-    column: str,
-    probabilities: Sequence[float],
-    single_buffer_values: int = SINGLE_BUFFER_VALUES,
-) -> list[float]:
+def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> list[float]:
     """Exact quantiles of a column of any size, as driver numbers (one per probability).
 
     A sketch gives a narrow value bracket around each wanted rank, one pass counts what lies
@@ -37,8 +30,6 @@ def exact_quantiles(
     n = bounds["n"]
     if n == 0:
         return [math.nan for _ in probabilities]
-    if n <= single_buffer_values:
-        return list(values.agg(F.percentile("v", F.array(*map(F.lit, probabilities)))).first()[0])
 
     low_rank = [math.floor(p * (n - 1)) for p in probabilities]
     high_rank = [min(r + 1, n - 1) for r in low_rank]

@@ -212,7 +212,7 @@ def _quantile_decisions(rows: DataFrame, undecided: DataFrame, years: DataFrame)
 
 def first_passing(decisions: DataFrame) -> DataFrame:
     """Per branch the lowest level that passes, else the last level."""
-    order = F.expr("if(stage <> 'failed', level, 10000 - level)")
+    order = F.expr("struct(stage = 'failed', if(stage = 'failed', -level, level))")
     kept = F.min_by(F.struct(*decisions.columns), order)
     return decisions.groupBy("sale_loc").agg(kept.alias("kept")).select("kept.*")
 

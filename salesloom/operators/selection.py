@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesloom.context import BOOSTING_MODELS, SMA_FALLBACK, PlanContext, shift_months
@@ -84,8 +84,8 @@ def choose_models(
 def model_mix(chosen: DataFrame) -> DataFrame:
     """Share of each model among the clients a model was chosen for."""
     counts = chosen.filter("model is not null").groupBy("model").agg(F.count("*").alias("clients"))
-    total = counts.agg(F.sum("clients")).scalar()
-    return counts.withColumn("share", F.col("clients") / total)
+    # one row per model, so a window over all of them is small
+    return counts.withColumn("share", F.col("clients") / F.sum("clients").over(Window.partitionBy()))
 
 
 def score_summary(chosen: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import argparse
 
-from salesloom.context import PlanContext
+from pyspark.sql import SparkSession
+
+from salesloom.context import PlanContext, own_brand_steps
 from salesloom.operators.boosting import absolute_family, squared_family
 from salesloom.operators.tuning import SearchBudget
 from salesloom.operators.wallet import default_recode
@@ -27,16 +29,29 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     month.add_argument("--plan-month", help="first day of the month to plan")
     month.add_argument("--plan-month-file", help="one-row CSV with the column plan_month_fact")
     parser.add_argument("--history-start", default="2017-11-01")
-    parser.add_argument("--models", choices=("sma", "boosted", "tuned"), default="boosted")
+    parser.add_argument("--models", choices=("sma", "boosted", "tuned"), default="tuned",
+                        help="tuned searches each cluster's parameters; boosted takes the defaults; sma fits no trees")
     parser.add_argument("--default-recode", action="store_true", help="use the built-in closed branches")
-    parser.add_argument("--shuffle-partitions", help="initial count; adaptive execution merges small ones")
+    parser.add_argument("--shuffle-partitions", default="2000",
+                        help="initial count; adaptive execution merges small ones")
+    parser.add_argument("--loose-bands", action="store_true", help="the fifth stage has its own parameter")
+    parser.add_argument("--keep-border-fill", action="store_true", help="keep the border fill in the ratchet")
+    parser.add_argument("--own-brand-first-step", type=float, default=0.015)
+    parser.add_argument("--shift", type=int, default=1, help="months between a row and its features' last month")
     parser.add_argument("--threads", type=int, default=4, help="clusters fitted at a time")
     return parser.parse_args(argv)
 
 
 def run(args: argparse.Namespace) -> None:
-    conf = {"spark.sql.shuffle.partitions": args.shuffle_partitions} if args.shuffle_partitions else {}
-    spark = build_session("monthly-sales-plan", **conf)
+    partitions = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": args.shuffle_partitions}
+    spark = build_session("monthly-sales-plan", **partitions)
+    try:
+        plan(spark, args)
+    finally:
+        drop_staged(spark)
+
+
+def plan(spark: SparkSession, args: argparse.Namespace) -> None:
     month = args.plan_month or read_plan_month(spark, args.plan_month_file)
     history = PlanContext.from_month(args.history_start).plan_month
     ctx = PlanContext.from_month(month, history_start=history)
@@ -46,19 +61,27 @@ def run(args: argparse.Namespace) -> None:
     if args.models != "sma":
         budget = SearchBudget() if args.models == "tuned" else None
         both = [absolute_family(budget=budget), squared_family(budget=budget)]
-        families = boosted(both, threads=args.threads)
-    entire = entire_plan(ctx, sources, families)
-    own = own_brand_plan(ctx, sources, entire)
-    for name, table in {
+        families = boosted(both, args.shift, args.threads)
+    entire = entire_plan(ctx, sources, families, strict_bands=not args.loose_bands)
+    steps = own_brand_steps(args.own_brand_first_step)
+    own = own_brand_plan(ctx, sources, entire, steps, args.keep_border_fill)
+    results = {
         "res_entire": entire.result,
         "forecast_entire": entire.forecast,
         "res_own_brand": own.result,
         "forecast_own_brand": own.forecast,
         "status_entire": entire.status,
         "status_own_brand": own.status,
-    }.items():
-        write_result(table, f"{args.output}/{name}", args.output_format)
-    drop_staged(spark)
+        "models_entire": entire.chosen,
+        "models_own_brand": own.chosen,
+        "model_mix": entire.mix,
+        "score_summary": entire.summary,
+        "importances": entire.importances,
+        "search_trials": entire.trials,
+    }
+    for name, table in results.items():
+        if table is not None:
+            write_result(table, f"{args.output}/{name}", args.output_format)
 
 
 if __name__ == "__main__":

@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     # call-site capture costs several JVM calls per column expression
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # staged Parquet files unpack to several times their size
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # upper size of a join side that Spark may broadcast; it compares file or shuffle sizes
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }

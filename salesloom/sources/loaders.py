@@ -55,10 +55,13 @@ def client_cards(
 
 
 def branch_plans_for(branch_plans: DataFrame, plan_type: str, ctx: PlanContext) -> DataFrame:
-    """Branch plans of the plan month; the value column follows the plan type."""
-    return branch_plans.filter(F.col("plan_month") == F.lit(ctx.plan_month)).select(
-        "sale_loc", "plan_month", F.col(PLAN_VALUE_COLUMN[plan_type]).alias("plan_value")
-    )
+    """Branch plans of the plan month, one row per branch; the value column follows the plan type.
+
+    Of several rows of a branch the one with the greatest value counts.
+    """
+    value = F.max(PLAN_VALUE_COLUMN[plan_type]).alias("plan_value")
+    of_month = branch_plans.filter(F.col("plan_month") == F.lit(ctx.plan_month))
+    return of_month.groupBy("sale_loc", "plan_month").agg(value)
 
 
 def client_branches(site_branch: DataFrame) -> DataFrame:

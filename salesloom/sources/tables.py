@@ -95,15 +95,16 @@ def read_table(
 ) -> DataFrame:
     """Read one input table.
 
-    Text formats take the fixed schema, columnar ones and JDBC bring their own, which is
-    checked. JDBC connection options, credentials among them, come from the caller.
+    Columns are found by name, whatever their order: a CSV's header gives the names and all values
+    come as strings, which are then cast. A CSV without a header (option header=false) has the
+    schema's columns in the schema's order. JSON takes the schema; columnar formats and JDBC bring
+    their own, which is checked. JDBC connection options, credentials among them, come from the caller.
     """
     reader = spark.read.format(fmt).options(**options)
-    if fmt in ("csv", "json"):
+    if fmt == "csv" and str(options.get("header", "true")).lower() == "true":
+        reader = reader.option("header", "true")
+    elif fmt in ("csv", "json"):
         reader = reader.schema(SCHEMAS[name])
-        if fmt == "csv":
-            # a given header option wins
-            reader = reader.option("header", options.get("header", "true"))
     return conform(reader.load() if fmt == "jdbc" else reader.load(path), name)
 
 

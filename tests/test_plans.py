@@ -51,9 +51,9 @@ def test_job_writes_its_tables(spark, tmp_path):
     out = tmp_path / "out"
     run(parse(["--input", str(tmp_path / "in"), "--output", str(out), "--plan-month", "2001-08-01",
                "--history-start", "1995-01-01", "--models", "sma"]))
-    for name in ("res_entire", "forecast_entire", "res_own_brand", "forecast_own_brand"):
+    for name in ("res_entire", "forecast_entire", "res_own_brand", "forecast_own_brand", "models_entire", "model_mix", "score_summary"):
         written = spark.read.option("header", "true").csv(str(out / name))
-        assert written.count() > 0 and "segment" in written.columns
+        assert written.count() > 0 and {"segment", "model", "mean_score"} & set(written.columns)
 
 
 def test_context_is_the_fixture_month():
