@@ -78,6 +78,63 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS ws
+            FROM documents
+        ), s AS (
+            SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')))
+                END AS sh
+            FROM w
+        ), u AS (
+            SELECT doc_id, unnest(sh) AS x FROM s
+        ), common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM common JOIN s p ON p.doc_id = a JOIN s q ON q.doc_id = b
+            WHERE 100 * n >= 80 * (len(p.sh) + len(q.sh) - n)
+        ), edges AS (
+            SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM s
+            UNION
+            SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.other = e.a
+        ), smallest AS (
+            SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+        )
+        SELECT doc_id, len(sh) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM s JOIN smallest USING (doc_id)
+    """,
+    "op8_chat_format": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, 'unknown') AS who,
+                   replace(coalesce(text, ''), '<|', '<' || chr(8203) || '|') AS text
+            FROM conversations
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, who, text) - 1 AS place
+            FROM t
+        ), participants AS (
+            SELECT DISTINCT conv_id AS of, who AS participant FROM t WHERE who <> 'system'
+        ), views AS (
+            SELECT conv_id, participant, place // 512 AS segment, place, who = participant AS own, text,
+                   CASE WHEN who = participant THEN '<|assistant|>' WHEN who = 'system' THEN '<|system|>'
+                        ELSE '<|user|>' || who || ': ' END AS head
+            FROM placed JOIN participants ON conv_id IS NOT DISTINCT FROM of
+        ), offsets AS (
+            SELECT *, length(head) + coalesce(sum(length(head) + length(text) + 8) OVER (
+                PARTITION BY conv_id, participant, segment ORDER BY place
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+            FROM views
+        )
+        SELECT conv_id, participant, segment, count(*) AS n_turns, count(*) FILTER (own) AS n_own_turns,
+               string_agg(head || text || '<|end|>' || chr(10), '' ORDER BY place) AS rendered,
+               coalesce(string_agg(begins || ':' || (begins + length(text)), ',' ORDER BY place) FILTER (own), '') AS mask
+        FROM offsets GROUP BY conv_id, participant, segment
+    """,
     "op9_exact_dedup": r"""
         WITH norm AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
