@@ -342,7 +342,7 @@ def feature_importances(i: Inputs) -> DataFrame:
 @query
 def parameter_search_trials(i: Inputs) -> DataFrame:
     cards = stage(i.cards, "cards")
-    family = boosting.Family("lgb_ms", "squared", False, CHECK_SPACE, CHECK_TREES, SearchBudget(1, 1, 0))
+    family = boosting.Family("lgb_ms", "squared", False, CHECK_SPACE, CHECK_TREES, SearchBudget(1, 1, 1))
     (found,) = boosting.fit_families(i.active, cards, i.sources.calendar, [family], CTX, threads=8)
     return found.trials
 

@@ -23,8 +23,11 @@ def _client_month() -> list[Column]:
     return [F.col("site_use_id").alias("segment"), month_start(F.col("ordered_day")).alias("month")]
 
 
-def monthly_shipments(lines: DataFrame) -> DataFrame:
-    """One row per client and month with sales, averages, order shares and assortment."""
+def monthly_shipments(lines: DataFrame, *more: Column) -> DataFrame:
+    """One row per client and month with sales, averages, order shares and assortment.
+
+    ``more`` are further aggregates over the same groups.
+    """
 
     def share(condition: Column) -> Column:
         # lines without the flag count as not flagged
@@ -41,11 +44,30 @@ def monthly_shipments(lines: DataFrame) -> DataFrame:
             share(F.col("web_order_flag") == 1).alias("web_order_rel"),
             share(F.col("dlo_id") == MARKET_CHANNEL).alias("market_rel"),
             F.countDistinct("cd_m").alias("position_count"),
+            *more,
         )
         .withColumn("density", ratio(F.col("volume"), F.col("weight")))
     )
 
 
+def monthly_both(lines: DataFrame) -> DataFrame:
+    """Monthly shipments of all goods with the own brand's sales and lines, from one pass.
+
+    ``lines`` as :func:`salesloom.sources.loaders.marked_lines` gives them.
+    """
+    own = F.col("own_brand")
+    return monthly_shipments(
+        lines,
+        F.sum(F.when(own, whole(F.col("cost_rub")))).alias("own_target"),
+        F.count_if(own).alias("own_lines"),
+    )
+
+
+def own_months(months: DataFrame) -> DataFrame:
+    """The own-brand panel out of :func:`monthly_both`."""
+    return months.filter("own_lines > 0").select("segment", "month", F.col("own_target").alias("target"))
+
+
 def monthly_own_brand(lines: DataFrame) -> DataFrame:
     return lines.groupBy(*_client_month()).agg(F.sum(whole(F.col("cost_rub"))).alias("target"))
 

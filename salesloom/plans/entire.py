@@ -12,10 +12,11 @@ from salesloom.context import AllocationLevel, PlanContext
 from salesloom.operators.allocation import allocate, branch_status, client_year
 from salesloom.operators.boosting import Family, fit_families
 from salesloom.operators.moving_average import moving_average_scores
-from salesloom.operators.segments import class_forecasts
+from salesloom.operators.panel import own_months
+from salesloom.operators.segments import class_forecasts, with_segment_class
 from salesloom.operators.selection import choose_models, model_mix, score_summary, selection_facts
 from salesloom.operators.wallet import wallet_share
-from salesloom.plans.panels import active_panel, cards_of, load_panel, sales_only
+from salesloom.plans.panels import active_panel, cards_of, load_months
 from salesloom.session import stage
 from salesloom.sources.loaders import branch_plans_for, client_branches
 from salesloom.sources.tables import Sources
@@ -35,6 +36,7 @@ class PlanResult:
     forecast: DataFrame
     status: DataFrame
     panel: DataFrame
+    own_panel: DataFrame
     cards: DataFrame
     chosen: DataFrame
     mix: DataFrame
@@ -84,9 +86,10 @@ def entire_plan(
     search trials then are part of the result.
     """
     cards = stage(cards_of(sources, ctx), "cards")
-    classed = load_panel(sources, ctx, "entire", cards)
     # only the boosted families use more than the sales of a month
-    classed = stage(classed if families else sales_only(classed), "entire-panel")
+    months = stage(load_months(sources, ctx, cards, averages=bool(families)), "months")
+    panel = months.drop("own_target", "own_lines")
+    classed = stage(with_segment_class(panel, ctx, ctx.low_value), "entire-panel")
     fits = list(families(classed, cards, sources, ctx)) if families else []
     scores = [fit if isinstance(fit, DataFrame) else fit.scores for fit in fits]
     reports = [fit for fit in fits if not isinstance(fit, DataFrame)]
@@ -106,6 +109,7 @@ def entire_plan(
         forecast=wallet,
         status=branch_status(raw, decisions),
         panel=classed,
+        own_panel=own_months(months),
         cards=cards,
         chosen=chosen,
         mix=model_mix(chosen),

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from salesloom.context import PlanContext
-from salesloom.operators.panel import fill_gaps, monthly_own_brand, monthly_shipments, with_card
+from salesloom.operators.panel import fill_gaps, monthly_both, monthly_own_brand, monthly_shipments, with_card
 from salesloom.operators.segments import with_segment_class
-from salesloom.sources.loaders import client_cards, own_brand_lines, shipment_lines
+from salesloom.sources.loaders import client_cards, marked_lines, own_brand_lines, shipment_lines
 from salesloom.sources.tables import Sources
 
 
@@ -29,6 +29,16 @@ def load_panel(sources: Sources, ctx: PlanContext, mode: str, cards: DataFrame |
     return with_segment_class(with_card(panel, cards), ctx, low)
 
 
+def load_months(sources: Sources, ctx: PlanContext, cards: DataFrame, averages: bool) -> DataFrame:
+    """Monthly sales of all and of own-brand goods of the clients with a card, in one scan of the lines.
+
+    Without ``averages`` nothing but sales is computed. Stage the result: both plans read it.
+    """
+    lines = marked_lines(sources.shipments, sources.products, ctx)
+    months = with_card(monthly_both(lines), cards)
+    return months if averages else months.select("segment", "month", "target", "own_target", "own_lines")
+
+
 def sales_only(classed: DataFrame) -> DataFrame:
     """Sales and class alone: the averages and the distinct product count are never computed."""
     return classed.select("segment", "month", "target", "segment_class")

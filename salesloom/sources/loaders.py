@@ -22,6 +22,15 @@ def shipment_lines(shipments: DataFrame, ctx: PlanContext) -> DataFrame:
     )
 
 
+def marked_lines(shipments: DataFrame, products: DataFrame, ctx: PlanContext) -> DataFrame:
+    """All shipment lines with ``own_brand``, whether the product is of the own brand."""
+    code = whole(F.col("medicine_code")).alias("_own")
+    own = products.filter("own_mark = 1").select(code).filter("_own is not null").distinct()
+    lines = shipment_lines(shipments, ctx)
+    marked = lines.join(own, whole(lines["cd_m"]) == own["_own"], "left")
+    return marked.withColumn("own_brand", F.col("_own").isNotNull()).drop("_own")
+
+
 def own_brand_lines(shipments: DataFrame, products: DataFrame, ctx: PlanContext) -> DataFrame:
     own = products.filter("own_mark = 1").select(whole(F.col("medicine_code")).alias("_code"))
     lines = shipment_lines(shipments, ctx).withColumn("_code", whole(F.col("cd_m")))

@@ -2,11 +2,14 @@ import pytest
 
 from salesloom.context import PlanContext
 from salesloom.operators.boosting import squared_family
+from salesloom.operators.panel import monthly_both, monthly_own_brand, monthly_shipments, own_months
 from salesloom.operators.tuning import TreeParams
 from salesloom.plans import entire_plan, own_brand_plan
 from salesloom.plans.entire import boosted
 from salesloom.plans.job import parse, run
+from salesloom.plans.panels import cards_of, load_months
 from salesloom.sources import SCHEMAS, fixtures
+from salesloom.sources.loaders import marked_lines, own_brand_lines, shipment_lines
 from tests.conftest import DATA
 
 CTX = fixtures.FIXTURE_CONTEXT
@@ -58,3 +61,22 @@ def test_job_writes_its_tables(spark, tmp_path):
 
 def test_context_is_the_fixture_month():
     assert CTX == PlanContext.from_month("2001-08-01", history_start=CTX.history_start)
+
+
+def test_lines_are_scanned_once(spark):
+    sources = fixtures.fixture_sources(spark, DATA)
+    months = load_months(sources, CTX, cards_of(sources, CTX), averages=True)
+
+    def scans(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet")
+
+    assert scans(months) == scans(sources.shipments) > 0
+
+
+def test_both_panels_from_one_pass_equal_the_separate_ones(spark):
+    sources = fixtures.fixture_sources(spark, DATA)
+    months = monthly_both(marked_lines(sources.shipments, sources.products, CTX)).cache()
+    entire = monthly_shipments(shipment_lines(sources.shipments, CTX)).select("segment", "month", "target")
+    own = monthly_own_brand(own_brand_lines(sources.shipments, sources.products, CTX))
+    for one, two in ((months.select("segment", "month", "target"), entire), (own_months(months), own)):
+        assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty() and not two.isEmpty()
