@@ -321,7 +321,7 @@ def total(expr: str) -> str:
 
 
 def big(t: str, f: str) -> str:
-    return f"({t} > 5e6 AND {f} > 0.01e0)"
+    return f"({t} > 2e5 AND {f} > 0.01e0)"
 
 
 def _rows(params: str) -> str:

@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.context import EXOGENOUS, GROUPED_CATEGORIES, PLAN_VALUE_COLUMN, AllocationLevel
+from salesloom.context import EXOGENOUS, GROUPED_CATEGORIES, PLAN_VALUE_COLUMN, AllocationLevel, entire_levels
 from salesloom.operators import allocation, boosting, categories, clusters, features, moving_average
 from salesloom.operators import own_brand as own
 from salesloom.operators import selection, stretch
@@ -30,6 +30,8 @@ from salesloom.sources.loaders import (
 )
 
 CTX = fixtures.FIXTURE_CONTEXT
+# no client of the test tables reaches the usual limit of a big client
+LEVELS = entire_levels(big_target=2e5)
 # small trees keep the many cluster fits of a check run short; all clients and months are used
 CHECK_TREES = TreeParams(trees=2, depth=2)
 CHECK_SPACE = SearchSpace((0.05, 0.3), (1, 2), (1, 2), (0.5, 1.0))
@@ -386,12 +388,12 @@ def stretch_cumulative_bands(i: Inputs) -> DataFrame:
 
 @query
 def big_client_fill(i: Inputs) -> DataFrame:
-    return _moved(stretch.fill_big_clients(i.wallet, i.plans), "passed")
+    return _moved(stretch.fill_big_clients(i.wallet, i.plans, LEVELS[0]), "passed")
 
 
 @query
 def big_client_finish(i: Inputs) -> DataFrame:
-    return _moved(stretch.fill_big_clients(i.wallet, i.plans, finish=True), "passed")
+    return _moved(stretch.fill_big_clients(i.wallet, i.plans, LEVELS[0], finish=True), "passed")
 
 
 @query
@@ -405,7 +407,7 @@ def quantile_uplift(i: Inputs) -> DataFrame:
 
 
 def _allocated(i: Inputs) -> tuple[DataFrame, DataFrame]:
-    return allocation.allocate(i.wallet, i.plans, i.years)
+    return allocation.allocate(i.wallet, i.plans, i.years, LEVELS)
 
 
 @query
@@ -459,19 +461,19 @@ def own_brand_status(i: Inputs) -> DataFrame:
 
 @query
 def entire_plan_sma(i: Inputs) -> DataFrame:
-    return entire_plan(CTX, i.sources).result.select("segment", "sale_loc", rounded("target", 4))
+    return entire_plan(CTX, i.sources, levels=LEVELS).result.select("segment", "sale_loc", rounded("target", 4))
 
 
 @query
 def own_brand_plan_sma(i: Inputs) -> DataFrame:
-    plan = own_brand_plan(CTX, i.sources, entire_plan(CTX, i.sources))
+    plan = own_brand_plan(CTX, i.sources, entire_plan(CTX, i.sources, levels=LEVELS))
     return plan.result.select("segment", "sale_loc", rounded("target", 4))
 
 
 @query
 def entire_plan_result(i: Inputs) -> DataFrame:
     families = [boosting.absolute_family(CHECK_TREES), boosting.squared_family(CHECK_TREES)]
-    return entire_plan(CTX, i.sources, boosted(families, threads=8)).result
+    return entire_plan(CTX, i.sources, boosted(families, threads=8), LEVELS).result
 
 
 __all__ = ["CTX", "Inputs", "REGISTRY"]

@@ -75,9 +75,6 @@ SHORT_WINDOW_FEATURES = (
 SMA_WINDOWS = (1, 3, 6, 12)
 SMA_FALLBACK = "sma6"
 BOOSTING_MODELS = ("cb_ms", "lgb_ms")
-BIG_CLIENT_TARGET = 5e6
-BIG_CLIENT_SHARE = 0.01
-BIG_CLIENT_GAP = 0.24
 FIXED_LOW_TARGET = 30000.0
 TURNOVER_MULTIPLE = 5.0
 # ----------------------------------------------------------------------------------
@@ -155,11 +152,19 @@ class AllocationLevel:
     band_step: float = 0.05
     big_gap: float = 0.15
     cap: float = 0.25
+    # a client is big from this target and share of wallet on
+    big_target: float = 5e6
+    big_share: float = 0.01
+    # most of the gap, relative to the big clients, that they are given at the start
+    init_gap: float = 0.24
 
 
-def entire_levels(retries: int = 6) -> list[AllocationLevel]:
-    """Base parameters followed by the retries of a branch that missed its plan."""
-    levels = [AllocationLevel(level=0)]
+def entire_levels(retries: int = 6, **common: float) -> list[AllocationLevel]:
+    """Base parameters followed by the retries of a branch that missed its plan.
+
+    ``common`` replaces parameters that all levels share, such as ``big_target``.
+    """
+    levels = [AllocationLevel(level=0, **common)]
     for i in range(1, retries + 1):
         levels.append(
             AllocationLevel(
@@ -170,6 +175,7 @@ def entire_levels(retries: int = 6) -> list[AllocationLevel]:
                 to_20=0.25 + i / 50,
                 band_step=0.1 + i / 50,
                 big_gap=0.18 + i / 50,
+                **common,
             )
         )
     return levels

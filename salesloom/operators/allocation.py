@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesloom.context import (
-    BIG_CLIENT_GAP,
     FIXED_LOW_TARGET,
     AllocationLevel,
     PlanContext,
@@ -107,7 +106,13 @@ def _branch_sums(rows: DataFrame, strict_bands: bool) -> DataFrame:
     } | {f"sum_{s}": stage_value(s, strict_bands) for s in STAGES}
     cells = (
         _lifted(rows)
-        .groupBy(*KEY, "plan", F.expr("lvl.big_gap as big_gap"), F.expr("coalesce(band, 0) as band"))
+        .groupBy(
+            *KEY,
+            "plan",
+            F.expr("lvl.big_gap as big_gap"),
+            F.expr("lvl.init_gap as init_gap"),
+            F.expr("coalesce(band, 0) as band"),
+        )
         .agg(
             *[F.expr(f"{total_of(value)} as {name}") for name, value in added.items()],
             F.expr(f"{total_of('top - base')} as gain"),
@@ -120,7 +125,7 @@ def _branch_sums(rows: DataFrame, strict_bands: bool) -> DataFrame:
     base, gains = F.sum("base_total").over(branch), F.sum("gain").over(branch.orderBy("band"))
     return (
         cells.withColumns({"upto_base": base.cast("double"), "upto": (base + gains).cast("double")})
-        .groupBy(*KEY, "plan", "big_gap")
+        .groupBy(*KEY, "plan", "big_gap", "init_gap")
         .agg(
             *[F.expr(f"coalesce(double(sum({name})), 0D) as {name}") for name in added],
             # without a test before it, the first band already passes where the base does
@@ -138,7 +143,7 @@ def _first_decisions(rows: DataFrame, strict_bands: bool) -> DataFrame:
     gap = "try_divide(plan - total, big)"
     short = "1D - try_divide(top_total, plan)"
     rules = {
-        "big_init": (f"{gap} > 0 and {gap} < {BIG_CLIENT_GAP!r}D", gap),
+        "big_init": (f"{gap} > 0 and {gap} < init_gap", gap),
         "scale": ("try_divide(plan, total) < 1", "try_divide(plan, total)"),
         **{
             s: (f"sum_{s} > plan", f"try_divide(plan - total, sum_{s} - total)") for s in STAGES
@@ -166,6 +171,10 @@ def _uplifted(percent: str) -> str:
     return f"(case when top in (0D, {FIXED_LOW_TARGET!r}D) then top else greatest(top, {_own_quantile(percent)}) end)"
 
 
+# what the rows of all quantiles need of their level
+BIG_RULE = "named_struct('big_target', lvl.big_target, 'big_share', lvl.big_share) as lvl"
+
+
 def _quantile_sums(rows: DataFrame, years: DataFrame, keys: Sequence[str]) -> DataFrame:
     """First quantile whose total is above the plan, and the totals of the last quantile.
 
@@ -173,7 +182,7 @@ def _quantile_sums(rows: DataFrame, years: DataFrame, keys: Sequence[str]) -> Da
     """
     raised = (
         rows.join(years, "segment", "left")
-        .select(*keys, "soz", "top", "ordered", F.expr(_every_quantile()))
+        .select(*keys, "soz", "top", "ordered", F.expr(BIG_RULE), F.expr(_every_quantile()))
         .withColumn("raised", F.expr(_uplifted("q")))
     )
     big = is_big("raised", current_share("raised"))
@@ -335,7 +344,7 @@ def stretch_upper_bands(
 
 def uplift_to_quantiles(rows: DataFrame, plans: DataFrame, years: DataFrame) -> DataFrame:
     """The quantile stage alone on every branch; without a passing one the last is kept."""
-    planned = with_plan(rows, plans).withColumn("top", F.col("target"))
+    planned = with_levels(with_plan(rows, plans), [AllocationLevel(level=0)]).withColumn("top", F.col("target"))
     sums = stage(_quantile_sums(planned, years, ("sale_loc", "plan")), "quantile-sums")
     decided = sums.selectExpr("sale_loc", "stop.q as stop_quantile", f"{QUANTILE_FACTOR} as factor")
     found = planned.join(decided, "sale_loc").join(years, "segment", "left")

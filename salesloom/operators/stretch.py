@@ -12,12 +12,7 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.context import (
-    BIG_CLIENT_GAP,
-    BIG_CLIENT_SHARE,
-    BIG_CLIENT_TARGET,
-    AllocationLevel,
-)
+from salesloom.context import AllocationLevel
 from salesloom.session import stage
 
 STAGES = ("very_low", "to_5", "to_10", "to_15", "to_20", "to_25")
@@ -67,7 +62,7 @@ def current_share(target: str, turnover: str = "soz") -> str:
 
 
 def is_big(target: str, share: str) -> str:
-    return f"({target} > {BIG_CLIENT_TARGET!r}D and {share} > {BIG_CLIENT_SHARE!r}D)"
+    return f"({target} > lvl.big_target and {share} > lvl.big_share)"
 
 
 def raised_share(share: str, step: str, strict_bands: bool = True) -> str:
@@ -162,7 +157,7 @@ def fill_big_clients(
     """
     raised = f"if({is_big('target', 'share')}, target * 2, target)"
     gap = "try_divide(plan - total, raised_total - total)"
-    start = f"({gap} > 0 and {gap} < {BIG_CLIENT_GAP!r}D)"
+    start = f"({gap} > 0 and {gap} < {level.init_gap!r}D)"
     end = f"(1D - try_divide(total, plan) <= {level.big_gap!r}D)"
     return _fill(_prepared(rows, plans, level), raised, end if finish else start)
 
