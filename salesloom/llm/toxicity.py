@@ -18,7 +18,9 @@ doc_id and the text are not read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +36,8 @@ LEAST_DOCUMENTS, LEAST_SHARE = 3, 0.02
 PREFIXES = (4, 5, 6, 7, 8)
 STEPS, RATE, PENALTY, START = 200, 0.15, 1e-2, -8.0
 THRESHOLD = 0.7
+#: Features that a fitting step goes through at a time.
+BLOCK_FEATURES = 1_000_000
 #: Words whose weights a worker keeps; emptied when full, results do not depend on it.
 CACHE_WORDS = 500_000
 
@@ -100,51 +104,73 @@ class Model:
         return ",".join(f"{a}:{b}" for a, b in spans.values())
 
 
-def fit(texts: list[str], toxic: list[bool]) -> Model:
-    """Maximise the penalised likelihood of the document labels by gradient steps (Adam)."""
-    words: dict[str, list[str]] = {}
-    documents = []
-    for text in texts:
-        sentences: list[list[str]] = [[]]
-        for token in _TOKEN.findall(text.lower()):
-            if token in _ENDS:
-                sentences.append([])
-            else:
-                sentences[-1].append(token)
-                if token not in words:
-                    words[token] = features(token)
-        documents.append([s for s in sentences if s])
+def _sentences(text: str) -> Iterator[list[str]]:
+    words: list[str] = []
+    for token in _TOKEN.findall(text.lower()):
+        if token not in _ENDS:
+            words.append(token)
+        elif words:
+            yield words
+            words = []
+    if words:
+        yield words
+
+
+def used_features(texts: Iterable[str], bad: int) -> dict[str, int]:
+    """Numbers of the features that enough of the ``bad`` toxic texts have."""
     seen: Counter[str] = Counter()
-    for sentences, bad in zip(documents, toxic, strict=True):
-        if bad:
-            seen.update({f for s in sentences for w in s for f in words[w]})
-    least = max(LEAST_DOCUMENTS, LEAST_SHARE * sum(toxic))
-    number = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= least))}
-    of_word = {w: [number[f] for f in fs if f in number] for w, fs in words.items()}
-    feature, sentence, document = [], [], []
-    for d, sentences in enumerate(documents):
-        for s in sentences:
-            ids = [i for w in s for i in of_word[w]]
-            feature += ids
-            sentence += [len(document)] * len(ids)
+    for text in texts:
+        words = {w for s in _sentences(text) for w in s}
+        seen.update({f for w in words for f in features(w)})
+    least = max(LEAST_DOCUMENTS, LEAST_SHARE * bad)
+    return {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= least))}
+
+
+def fit(texts: list[str], toxic: list[bool]) -> Model:
+    """Maximise the penalised likelihood of the document labels by gradient steps (Adam).
+
+    Features of all sentences lie in one flat array, which each step goes through in blocks.
+    """
+    number = used_features((t for t, bad in zip(texts, toxic, strict=True) if bad), sum(toxic))
+    of_word: dict[str, tuple[int, ...]] = {}
+    feature, length, document = array("i"), array("i"), array("i")
+    for d, text in enumerate(texts):
+        for words in _sentences(text):
+            before = len(feature)
+            for w in words:
+                ids = of_word.get(w)
+                if ids is None:
+                    ids = of_word[w] = tuple(number[f] for f in features(w) if f in number)
+                feature.extend(ids)
+            length.append(len(feature) - before)
             document.append(d)
+    del of_word
     if not document or not number:
         return Model({}, START)
-    feature, sentence = np.array(feature, dtype=np.int64), np.array(sentence, dtype=np.int64)
-    document = np.array(document, dtype=np.int64)
+    feature, length = np.frombuffer(feature, dtype=np.int32), np.frombuffer(length, dtype=np.int32)
+    document = np.frombuffer(document, dtype=np.int32)
+    filled = np.flatnonzero(length)  # sentences that have features
+    ends = np.cumsum(length[filled], dtype=np.int64)
+    cuts = np.searchsorted(ends, np.arange(BLOCK_FEATURES, ends[-1] + BLOCK_FEATURES, BLOCK_FEATURES))
+    blocks = [(a, b) for a, b in zip([0, *(cuts[:-1] + 1)], [*(cuts[:-1] + 1), len(filled)], strict=True) if a < b]
     label = np.array(toxic, dtype=bool)[document]
     weights, bias = np.zeros(len(number)), START
     moments = np.zeros((2, len(number) + 1))
     for step in range(1, STEPS + 1):
-        logit = bias + np.bincount(sentence, weights[feature], minlength=len(document))
+        logit = np.full(len(document), bias)
+        for a, b in blocks:
+            at = ends[a:b] - length[filled[a:b]]
+            own = weights[feature[at[0] : ends[b - 1]]]
+            logit[filled[a:b]] += np.add.reduceat(own, at - at[0])
         lack = np.bincount(document, np.logaddexp(0.0, logit), minlength=len(texts))[document]
         p = 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
         # d(-log likelihood)/d(logit): p for clean documents, -p (1 - P) / P for toxic ones
         slope = np.where(label, -p / np.expm1(np.clip(lack, 1e-9, 50)), p)
-        gradient = np.append(
-            np.bincount(feature, slope[sentence], minlength=len(number)) + PENALTY * len(texts) * weights / len(number),
-            slope.sum(),
-        )
+        gradient = PENALTY * len(texts) * weights / len(number)
+        for a, b in blocks:
+            own = feature[ends[a] - length[filled[a]] : ends[b - 1]]
+            gradient += np.bincount(own, np.repeat(slope[filled[a:b]], length[filled[a:b]]), minlength=len(number))
+        gradient = np.append(gradient, slope.sum())
         moments[0] = 0.9 * moments[0] + 0.1 * gradient
         moments[1] = 0.99 * moments[1] + 0.01 * gradient**2
         move = RATE * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.99**step)) + 1e-8)
