@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +33,8 @@ from .common import map_texts
 TOXIC_ROWS, CLEAN_ROWS = 3000, 6000
 #: A feature is used if this many toxic documents of the sample have it, and this share of them.
 LEAST_DOCUMENTS, LEAST_SHARE = 3, 0.02
+#: ... and if its share among them is this many times its share among the clean ones.
+LEAST_RATIO = 2.0
 PREFIXES = (4, 5, 6, 7, 8)
 STEPS, RATE, PENALTY, START = 200, 0.15, 1e-2, -8.0
 THRESHOLD = 0.7
@@ -116,14 +118,27 @@ def _sentences(text: str) -> Iterator[list[str]]:
         yield words
 
 
-def used_features(texts: Iterable[str], bad: int) -> dict[str, int]:
-    """Numbers of the features that enough of the ``bad`` toxic texts have."""
+def used_features(texts: list[str], toxic: list[bool]) -> dict[str, int]:
+    """Numbers of the features that enough toxic texts have, and clearly more of them than of the others."""
     seen: Counter[str] = Counter()
-    for text in texts:
-        words = {w for s in _sentences(text) for w in s}
-        seen.update({f for w in words for f in features(w)})
-    least = max(LEAST_DOCUMENTS, LEAST_SHARE * bad)
-    return {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= least))}
+    for text, bad in zip(texts, toxic, strict=True):
+        if bad:
+            words = {w for s in _sentences(text) for w in s}
+            seen.update({f for w in words for f in features(w)})
+    least = max(LEAST_DOCUMENTS, LEAST_SHARE * sum(toxic))
+    often = {f for f, n in seen.items() if n >= least}
+    clean: Counter[str] = Counter()
+    of_word: dict[str, tuple[str, ...]] = {}
+    for text, bad in zip(texts, toxic, strict=True):
+        if not bad:
+            has: set[str] = set()
+            for w in {w for s in _sentences(text) for w in s}:
+                if w not in of_word:
+                    of_word[w] = tuple(f for f in features(w) if f in often)
+                has.update(of_word[w])
+            clean.update(has)
+    rate = LEAST_RATIO * sum(toxic) / max(1, len(toxic) - sum(toxic))
+    return {f: i for i, f in enumerate(sorted(f for f in often if seen[f] > rate * clean[f]))}
 
 
 def fit(texts: list[str], toxic: list[bool]) -> Model:
@@ -131,7 +146,7 @@ def fit(texts: list[str], toxic: list[bool]) -> Model:
 
     Features of all sentences lie in one flat array, which each step goes through in blocks.
     """
-    number = used_features((t for t, bad in zip(texts, toxic, strict=True) if bad), sum(toxic))
+    number = used_features(texts, toxic)
     of_word: dict[str, tuple[int, ...]] = {}
     feature, length, document = array("i"), array("i"), array("i")
     for d, text in enumerate(texts):
