@@ -191,7 +191,8 @@ def probabilities(counts: DataFrame, wanted: DataFrame | None = None, order: int
             below = F.col("below")
         own = F.coalesce((F.col("n") - _discount()) / F.col("total"), F.lit(0.0))
         weight = F.coalesce(F.col("freed") / F.col("total"), F.lit(1.0))
-        lower = rows.select("lang", "gram", (own + weight * below).alias("p"))
+        # staged per order: one plan over all orders would be large for the driver
+        lower = stage(rows.select("lang", "gram", (own + weight * below).alias("p")), f"smoothed{k}")
     return lower.select("lang", "gram", F.log("p").cast("float").alias("log_p"))
 
 
@@ -204,6 +205,24 @@ def _hash(packed: np.ndarray, lang: str) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
+def hashed_model(model: DataFrame) -> DataFrame:
+    """hash and log_p of each row of ``model`` (lang, gram, log_p)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = batch.column(0).dictionary_encode()
+            packed = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)
+            code = langs.indices.to_numpy(zero_copy_only=False)
+            hashes = np.zeros(len(packed), dtype=np.uint64)
+            for i, lang in enumerate(langs.dictionary.to_pylist()):
+                hashes[code == i] = _hash(packed[code == i], lang)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes.astype(np.int64)), batch.column(2)], names=["hash", "log_p"]
+            )
+
+    return model.select("lang", "gram", "log_p").mapInArrow(run, "hash bigint, log_p float")
+
+
 class HashArrays:
     """Sorted hashes with their values; the upper bits of a hash lead to its place."""
 
@@ -293,24 +312,16 @@ def score_documents(docs: DataFrame, model: DataFrame) -> DataFrame:
     ``model``: lang, gram, log_p of all n-grams of the documents, as ``probabilities`` gives.
     """
     spark = docs.sparkSession
-    model = stage(model, "model")
-    shards = -(-model.count() // SHARD_GRAMS) or 1
+    hashed = stage(hashed_model(model), "model")
+    shards = -(-hashed.count() // SHARD_GRAMS) or 1
     source = docs.select("doc_id", "lang", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = None
     for shard in range(shards):
-        of_shard = F.pmod(F.xxhash64("lang", "gram"), F.lit(shards)) == shard
-        rows = model.filter(of_shard).toArrow() if shards > 1 else model.toArrow()
-        langs = rows["lang"].combine_chunks().dictionary_encode()
-        if isinstance(langs, pa.ChunkedArray):
-            langs = langs.combine_chunks()
-        packed = rows["gram"].to_numpy().astype(np.uint64)
-        code = langs.indices.to_numpy()
-        keys = np.zeros(len(packed), dtype=np.uint64)
-        for i, lang in enumerate(langs.dictionary.to_pylist()):
-            keys[code == i] = _hash(packed[code == i], lang)
-        arrays = spark.sparkContext.broadcast(HashArrays(keys, rows["log_p"].to_numpy().astype(np.float32)))
-        del rows, packed, keys
+        rows = hashed.filter(F.pmod("hash", F.lit(shards)) == shard).toArrow()
+        keys = rows["hash"].to_numpy().astype(np.uint64)
+        arrays = spark.sparkContext.broadcast(HashArrays(keys, rows["log_p"].to_numpy()))
+        del rows, keys
         first = shard == 0
 
         def run(batches, arrays=arrays, first=first) -> Iterator[pa.RecordBatch]:
