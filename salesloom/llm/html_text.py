@@ -4,8 +4,9 @@ Markup is stripped into lines, one per block of the page. Lines of elements that
 article (navigation, headers, footers, forms, adverts, comments and the like) count as text of length
 0. Over sliding windows of ``WINDOW`` lines the lengths are summed; a surge is the first window that
 rises above ``RISE`` times the page's mean window, the matching dive is where windows fall to zero. Text
-between a surge and its dive is kept. A page that marks its article keeps that element's lines only,
-and there the marked region itself is the surge, so that short paragraphs at its edges stay.
+between a surge and its dive is kept. Every page goes this way. Elements that mark an article are
+evidence in the lengths: one that holds most of the page's text lengthens its lines and shortens the
+others, so that short paragraphs at its edges stay.
 
 Cases: null and empty html give an empty text; pages are read whole; unclosed and stray tags are
 tolerated, and so are markup in attributes, comments and scripts; equal pages give equal results; an
@@ -15,6 +16,7 @@ empty table gives an empty result; columns other than page_id, url and html are
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 
 import numpy as np
@@ -61,17 +63,18 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s
 _SPACE = re.compile(r"\s+")
 
 
-def lines(page: str) -> list[tuple[str, bool, bool]]:
-    """(text, apart, in the marked article) of each block line, in page order."""
-    out: list[tuple[str, bool, bool]] = []
+def lines(page: str) -> list[tuple[str, bool, int]]:
+    """(text, apart, marked element it lies in or -1) of each block line, in page order."""
+    out: list[tuple[str, bool, int]] = []
     held: list[str] = []
-    open_: list[tuple[str, bool, bool]] = []  # element, apart, article
+    open_: list[tuple[str, bool, int]] = []  # element, apart, marked element
+    marks = 0
 
     def flush() -> None:
         text = _SPACE.sub(" ", entities.unescape("".join(held))).strip()
         held.clear()
         if text:
-            out.append((text, any(a for _, a, _ in open_), any(m for _, _, m in open_)))
+            out.append((text, any(a for _, a, _ in open_), next((m for _, _, m in open_ if m >= 0), -1)))
 
     at = 0
     for m in _TOKEN.finditer(page):
@@ -96,20 +99,28 @@ def lines(page: str) -> list[tuple[str, bool, bool]]:
         if name in ("html", "body", "main", "article"):
             apart = False
         marked = name in ("article", "main") or "articlebody" in m[4].lower()
-        open_.append((name, apart, marked))
+        open_.append((name, apart, marks if marked else -1))
+        marks += marked
     held.append(page[at:])
     flush()
     return out
 
 
-def surges(lengths: np.ndarray, window: int = WINDOW, rise: float = RISE) -> np.ndarray:
-    """Which lines lie between a surge point and its dive point."""
+def _window_sums(lengths: np.ndarray, window: int) -> np.ndarray:
+    padded = np.append(lengths, np.zeros(window - 1, dtype=lengths.dtype))
+    return np.convolve(padded, np.ones(window, dtype=lengths.dtype), "valid")
+
+
+def surges(lengths: np.ndarray, window: int = WINDOW, rise: float = RISE, mean: float | None = None) -> np.ndarray:
+    """Which lines lie between a surge point and its dive point.
+
+    ``mean``: the page's mean window, if it is not that of ``lengths``.
+    """
     keep = np.zeros(len(lengths), dtype=bool)
     if not lengths.any():
         return keep
-    padded = np.append(lengths, np.zeros(window - 1, dtype=lengths.dtype))
-    sums = np.convolve(padded, np.ones(window, dtype=lengths.dtype), "valid")
-    limit = rise * sums[sums > 0].mean()
+    sums = _window_sums(lengths, window)
+    limit = rise * (sums[sums > 0].mean() if mean is None else mean)
     inside = False
     for i, total in enumerate(sums):
         if not inside and total >= limit and lengths[i] > 0:
@@ -120,14 +131,35 @@ def surges(lengths: np.ndarray, window: int = WINDOW, rise: float = RISE) -> np.
     return keep & (lengths > 0)
 
 
+def weighted_lengths(found: list[tuple[str, bool, int]], window: int = WINDOW) -> tuple[np.ndarray, float]:
+    """Line lengths with the page's marks as evidence, and the mean window of the lengths without.
+
+    A mark counts as far as its element holds the page's text. Lines of the element with the most text
+    are at least its share of the mean window long, and as much of other lines' length is taken off, so
+    a mark on a teaser changes little and the element of the whole article shows in its shortest lines.
+    """
+    plain = np.array([0 if apart else len(text) for text, apart, _ in found], dtype=np.int64)
+    if not plain.any():
+        return plain, 0.0
+    sums = _window_sums(plain, window)
+    mean = float(sums[sums > 0].mean())
+    mark = np.array([m for _, _, m in found], dtype=np.int64)
+    if not (plain[mark >= 0] > 0).any():
+        return plain, mean
+    held = np.bincount(mark[mark >= 0], weights=plain[mark >= 0])
+    best = int(held.argmax())
+    share = held[best] / plain.sum()
+    if share <= 0.5:
+        return plain, mean
+    inside = np.maximum(plain, math.ceil(share * mean))
+    outside = np.maximum(0, plain - int(share * mean))
+    return np.where(plain == 0, 0, np.where(mark == best, inside, outside)), mean
+
+
 def main_text(page: str) -> str:
     found = lines(page)
-    marked = any(m and not a for _, a, m in found)
-    lengths = np.array(
-        [0 if apart or (marked and not m) else len(text) for text, apart, m in found], dtype=np.int64
-    )
-    # the edges of a marked article are given; elsewhere lengths have to show them
-    keep = lengths > 0 if marked else surges(lengths)
+    lengths, mean = weighted_lengths(found)
+    keep = surges(lengths, mean=mean)
     return "\n".join(text for (text, _, _), k in zip(found, keep, strict=True) if k)
 
 

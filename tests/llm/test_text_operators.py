@@ -135,6 +135,21 @@ def test_main_text():
     assert kept.count("long text here") == 100 and not kept.startswith("m")
 
 
+def test_marks_are_evidence_only(monkeypatch):
+    body = "".join(f"<p>{'long text here ' * 20}{i}</p>" for i in range(5))
+    teasers = "".join(f"<article><h2>Teaser {i}</h2><p>more</p></article>" for i in range(4))
+    # the article stands in a div, its teasers are marked
+    assert html_text.main_text(f"<div>{body}</div>{teasers}").count("long text here") == 100
+    assert html_text.main_text(f"{teasers}<div>{body}</div>").count("long text here") == 100
+    # short paragraphs at the edges of an article
+    edges = "<h1>T</h1><p>a</p><p>b</p><p>c</p>" + body + "<p>d</p>"
+    kept = html_text.main_text(f"<div>Skip to content</div><article>{edges}</article><div>Back to top</div>")
+    assert kept.startswith("T\na\nb\nc\nlong") and kept.endswith("4\nd")
+    # surge and dive decide on marked pages too
+    monkeypatch.setattr(html_text, "surges", lambda lengths, **_: lengths < 0)
+    assert html_text.main_text(f"<article>{edges}</article>") == ""
+
+
 def test_pages_of_the_tables(spark, no_docs):
     pages = spark.read.parquet(f"{DATA}/pages.parquet").withColumnRenamed("x", "x")
     out = html_text.extract_main_text(pages).toPandas()
