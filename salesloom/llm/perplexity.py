@@ -1,7 +1,8 @@
 """Quality rules: word statistics and n-gram perplexity with language-specific bands.
 
-The language model is a modified Kneser-Ney model of characters, one per language. Spark counts the
-n-grams of all documents and derives continuation counts, discounts, back-off weights and
+The language model is a modified Kneser-Ney model of characters, two per language: a hash of the text
+puts each document into one of two folds, and the model counted on one fold scores the other. So no
+document and no copy of it counts in what scores it. Spark counts the n-grams of all documents and derives continuation counts, discounts, back-off weights and
 interpolated probabilities with grouped aggregates and joins. For scoring, the probabilities lie in
 sorted arrays of 64-bit hashes. These arrays grow with the corpus, so they are broadcast in shards of
 at most ``SHARD_GRAMS`` entries, one shard per pass over the documents; a document's log
@@ -11,7 +12,8 @@ An n-gram is packed into one long, 12 bits a character, first character highest.
 U+0FFF on share symbols (code point modulo 4093). Documents begin after order - 1 zero symbols.
 
 Cases: null text counts as empty: no words, no perplexity, base_failed; a null language is a language
-of its own; texts are scored whole; equal rows get equal scores, rows that repeat a doc_id are scored
+of its own; a text whose language has no text in the other fold has no perplexity and is judged by the
+base rules alone; texts are scored whole; equal rows get equal scores, rows that repeat a doc_id are scored
 each; a table without text has no bands and an empty result if it has no rows; other columns are kept
 by ``drop_low_quality`` and not read otherwise.
 """
@@ -38,13 +40,14 @@ SHARD_GRAMS = 4_000_000
 HELD_GRAMS = 2_000_000
 
 #: Band limits: this many robust standard deviations (1.4826 times the median absolute deviation)
-#: of the log perplexity below and above the language's median. The lower limit is far off, as
-#: passages that many documents share make a clean document easy to predict.
-BELOW, ABOVE = 10.0, 4.0
-#: Least width of the two sides in nats, where many copies make the deviation small.
-LEAST_BELOW, LEAST_ABOVE = 0.25, 0.1
-#: Log perplexities are compared at this resolution.
+#: below and above the language's median log perplexity. As the mean over n characters spreads with
+#: 1 / sqrt(n), deviations are taken times sqrt(n), so the band of a short text is the wider one.
+BELOW, ABOVE = 2.5, 2.5
+#: Least standard deviation of a language, where many copies make it small: about that of prose.
+LEAST_SD = 1.0
+#: Log perplexities and scaled deviations are compared at these resolutions.
 STEP = 0.001
+SCALED_STEP = 0.01
 
 MIN_WORDS = 50
 SPACES = b" \t\n\v\f\r"
@@ -82,6 +85,31 @@ def _by_language(langs: pa.Array, texts: list[str]) -> Iterator[tuple[str, list[
     yield from members.items()
 
 
+def with_fold(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``lang`` set to the language, a zero character and the fold of the text, 0 or 1."""
+    fold = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(2)).cast("string")
+    return docs.withColumn("lang", F.concat(F.coalesce("lang", F.lit("")), F.lit("\0"), fold))
+
+
+def of_fold(label: str = "lang"):
+    """The language of a label that ``with_fold`` gives."""
+    return F.col(label).substr(F.lit(1), F.length(label) - 2)
+
+
+def other_fold(counts: DataFrame) -> DataFrame:
+    """``counts`` under the label of the fold they score."""
+    swapped = F.when(F.endswith(F.col("lang"), F.lit("0")), F.lit("1")).otherwise(F.lit("0"))
+    return counts.withColumn("lang", F.concat(of_fold(), F.lit("\0"), swapped))
+
+
+def fold_model(docs: DataFrame) -> DataFrame:
+    """lang, gram, log_p of the n-grams of each fold of ``docs`` (see ``with_fold``) by the other fold's counts."""
+    counts = stage(count_grams(docs), "grams")
+    others = other_fold(counts)
+    wanted = counts.join(F.broadcast(others.select("lang").distinct()), "lang", "left_semi")
+    return probabilities(others, wanted)
+
+
 def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """lang, gram, n over all documents (columns lang, text); each task combines before it sends."""
     source = docs.select("lang", "text")
@@ -307,7 +335,9 @@ def _log_sums(langs: pa.Array, texts: list[str], arrays: HashArrays) -> tuple[np
 
 
 def score_documents(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """doc_id, lang, the word statistics and ``log_ppl`` (null without text) of every row.
+    """doc_id, lang, the word statistics, ``found`` (characters scored) and ``log_ppl`` of every row.
+
+    ``log_ppl`` is null without text and without a model of the label.
 
     ``model``: lang, gram, log_p of all n-grams of the documents, as ``probabilities`` gives.
     """
@@ -363,6 +393,7 @@ def score_documents(docs: DataFrame, model: DataFrame) -> DataFrame:
         "doc_id",
         "lang",
         *BASE,
+        "found",
         F.when(F.col("found") > 0, -F.col("log_sum") / F.col("found")).alias("log_ppl"),
     )
 
@@ -371,8 +402,14 @@ def part_key(a: DataFrame, b: DataFrame):
     return a["doc_id"].eqNullSafe(b["doc_id"]) & a["lang"].eqNullSafe(b["lang"])
 
 
+def scaled(middle: str = "middle"):
+    """Steps of a row's deviation from the language's median, scaled by its length."""
+    apart = F.col("log_ppl") - F.col(middle) * STEP
+    return F.round(apart * F.sqrt("found") / SCALED_STEP).cast("long")
+
+
 def bands(scored: DataFrame) -> DataFrame:
-    """Lower and upper step of the log perplexity per language, from medians over all its rows.
+    """Median step of the log perplexity per language, and the lowest and highest scaled deviation.
 
     Medians are taken over counts per step, so no task gathers the rows of a language.
     """
@@ -388,38 +425,29 @@ def bands(scored: DataFrame) -> DataFrame:
             .agg(F.min("step").alias(name))
         )
 
-    steps = stage(
-        scored.filter("log_ppl is not null and not base_failed")
-        .groupBy(F.coalesce("lang", F.lit("")).alias("lang"), F.round(F.col("log_ppl") / STEP).cast("long").alias("step"))
-        .agg(F.count("*").alias("rows")),
-        "steps",
-    )
-    middle = median(steps, "middle")
-    apart = (
-        steps.join(middle, "lang")
-        .groupBy("lang", F.abs(F.col("step") - F.col("middle")).alias("step"))
-        .agg(F.sum("rows").alias("rows"))
+    def steps(rows: DataFrame, step, name: str) -> DataFrame:
+        return stage(rows.groupBy("lang", step.alias("step")).agg(F.count("*").alias("rows")), name)
+
+    judged = scored.filter("log_ppl is not null and not base_failed").select(
+        of_fold().alias("lang"), "log_ppl", "found"
     )
-    return (
-        middle.join(median(apart, "mad"), "lang")
-        .withColumn("sd", 1.4826 * F.col("mad"))
-        .select(
-            "lang",
-            (F.col("middle") - F.greatest(BELOW * F.col("sd"), F.lit(LEAST_BELOW / STEP))).alias("low"),
-            (F.col("middle") + F.greatest(ABOVE * F.col("sd"), F.lit(LEAST_ABOVE / STEP))).alias("high"),
-        )
+    middle = stage(median(steps(judged, F.round(F.col("log_ppl") / STEP).cast("long"), "steps"), "middle"), "middle")
+    apart = steps(judged.join(F.broadcast(middle), "lang"), F.abs(scaled()), "apart")
+    sd = F.greatest(1.4826 * F.col("mad"), F.lit(LEAST_SD / SCALED_STEP))
+    return middle.join(median(apart, "mad"), "lang").select(
+        "lang", "middle", (-BELOW * sd).alias("low"), (ABOVE * sd).alias("high")
     )
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, lang, text): statistics, perplexity, base_failed, kept."""
-    model = probabilities(stage(count_grams(docs), "grams"))
+    docs = with_fold(docs.select("doc_id", "lang", "text"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    scored = score_documents(docs, model).withColumn("base_failed", failed)
-    limits = bands(scored).select(F.col("lang").alias("of"), "low", "high")
-    step = F.round(F.col("log_ppl") / STEP)
-    inside = F.coalesce(step.between(F.col("low"), F.col("high")), F.lit(False))
-    return scored.join(F.broadcast(limits), F.coalesce("lang", F.lit("")) == F.col("of"), "left").select(
+    scored = score_documents(docs, fold_model(docs)).withColumn("base_failed", failed)
+    limits = bands(scored).select(F.col("lang").alias("of"), "middle", "low", "high")
+    # without a perplexity there is nothing to judge by but the base rules
+    inside = F.coalesce(scaled().between(F.col("low"), F.col("high")), F.lit(True))
+    return scored.join(F.broadcast(limits), of_fold() == F.col("of"), "left").select(
         "doc_id",
         *BASE,
         "base_failed",

@@ -223,6 +223,28 @@ def test_quality_rules(docs, edge_docs, no_docs, monkeypatch):
     assert perplexity.quality_rules(no_docs).count() == 0
 
 
+def test_no_text_counts_in_its_own_model(spark):
+    texts = ["common words of the language again and again " * 3 + str(i) for i in range(40)]
+    odd = "Zqxj vkwz " * 6
+    # copies of an odd text lie in one fold, so they don't make one another likely
+    rows = [(i, "en", t) for i, t in enumerate([*texts, odd, odd, odd])]
+    found = {r.doc_id: r for r in perplexity.quality_rules(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
+    assert max(found[i].perplexity for i in range(40)) * 10 < min(found[i].perplexity for i in (40, 41, 42))
+    alone = spark.createDataFrame([(1, "xx", " ".join(f"w{i}" for i in range(60)))], "doc_id long, lang string, text string")
+    (row,) = perplexity.quality_rules(alone).collect()
+    assert row.kept and row.perplexity is None
+
+
+def test_bands_reject_both_sides(spark):
+    rows = [("en\0" + str(i % 2), 2.0 + (i % 11 - 5) / 50, 400, False) for i in range(110)]
+    scored = spark.createDataFrame(rows, "lang string, log_ppl double, found long, base_failed boolean")
+    (band,) = perplexity.bands(scored).collect()
+    # deviations of 0.06 in the median, times the root of 400 characters
+    assert band.lang == "en" and band.middle == 2000
+    assert math.isclose(band.high, perplexity.ABOVE * 1.4826 * 0.06 * 20 / perplexity.SCALED_STEP)
+    assert band.low == -band.high
+
+
 # mixing
 
 
