@@ -15,7 +15,7 @@ from salesloom.operators import selection, stretch
 from salesloom.operators.month_calendar import with_month_days
 from salesloom.operators.panel import common_grid, monthly_own_brand, monthly_shipments, with_card, year_grid
 from salesloom.operators.segments import class_forecasts, segment_classes
-from salesloom.operators.tuning import SearchBudget, SearchSpace, TreeParams
+from salesloom.operators.tuning import SearchBudget
 from salesloom.operators.wallet import wallet_share
 from salesloom.plans.entire import boosted, client_forecast, entire_plan
 from salesloom.plans.own_brand import own_brand_plan
@@ -32,9 +32,8 @@ from salesloom.sources.loaders import (
 CTX = fixtures.FIXTURE_CONTEXT
 # no client of the test tables reaches the usual limit of a big client
 LEVELS = entire_levels(big_target=2e5)
-# small trees keep the many cluster fits of a check run short; all clients and months are used
-CHECK_TREES = TreeParams(trees=2, depth=2)
-CHECK_SPACE = SearchSpace((0.05, 0.3), (1, 2), (1, 2), (0.5, 1.0))
+# both families with their own parameters, search ranges and rings
+SEARCHED = SearchBudget()
 
 
 def rounded(name: str, digits: int = 6) -> Column:
@@ -327,7 +326,7 @@ def model_score_summary(i: Inputs) -> DataFrame:
 
 @query
 def gbt_cluster_forecast(i: Inputs) -> DataFrame:
-    families = [boosting.absolute_family(CHECK_TREES), boosting.squared_family(CHECK_TREES)]
+    families = [boosting.absolute_family(budget=SEARCHED), boosting.squared_family(budget=SEARCHED)]
     cards = stage(i.cards, "cards")
     first, second = boosting.fit_families(i.active, cards, i.sources.calendar, families, CTX, threads=8)
     return first.scores.unionByName(second.scores)
@@ -336,7 +335,7 @@ def gbt_cluster_forecast(i: Inputs) -> DataFrame:
 @query
 def feature_importances(i: Inputs) -> DataFrame:
     cards = stage(i.cards, "cards")
-    family = boosting.squared_family(CHECK_TREES)
+    family = boosting.squared_family(budget=SEARCHED)
     (found,) = boosting.fit_families(i.active, cards, i.sources.calendar, [family], CTX, threads=8)
     return found.importances.orderBy("comb", F.desc("importance"), "feature")
 
@@ -344,7 +343,7 @@ def feature_importances(i: Inputs) -> DataFrame:
 @query
 def parameter_search_trials(i: Inputs) -> DataFrame:
     cards = stage(i.cards, "cards")
-    family = boosting.Family("lgb_ms", "squared", False, CHECK_SPACE, CHECK_TREES, SearchBudget(1, 1, 1))
+    family = boosting.squared_family(budget=SEARCHED)
     (found,) = boosting.fit_families(i.active, cards, i.sources.calendar, [family], CTX, threads=8)
     return found.trials
 
@@ -472,7 +471,7 @@ def own_brand_plan_sma(i: Inputs) -> DataFrame:
 
 @query
 def entire_plan_result(i: Inputs) -> DataFrame:
-    families = [boosting.absolute_family(CHECK_TREES), boosting.squared_family(CHECK_TREES)]
+    families = [boosting.absolute_family(budget=SEARCHED), boosting.squared_family(budget=SEARCHED)]
     return entire_plan(CTX, i.sources, boosted(families, threads=8), LEVELS).result
 
 

@@ -6,6 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from salesloom.operators import boosting
+from salesloom.operators.tuning import SearchBudget
+from salesloom.plans import entire
 from tests.conftest import DATA
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -39,6 +42,22 @@ def test_query_equals_oracle(spark, duck, name):
     assert comparable(df.columns, df.collect()) == comparable(relation.columns, relation.fetchall())
 
 
+@pytest.mark.parametrize("name", ["gbt_cluster_forecast", "feature_importances", "parameter_search_trials", "entire_plan_result"])
+def test_boosted_queries_search_in_full(spark, monkeypatch, name):
+    class Fitted(Exception):
+        pass
+
+    def fit(active, cards, calendar, families, *_, **__):
+        raise Fitted(families)
+
+    monkeypatch.setattr(boosting, "fit_families", fit)
+    monkeypatch.setattr(entire, "fit_families", fit)
+    with pytest.raises(Fitted) as found:
+        contract.queries()[name](spark, DATA)
+    own = {f.name: f for f in (boosting.absolute_family(budget=SearchBudget(5, 25, 5)), boosting.squared_family(budget=SearchBudget(5, 25, 5)))}
+    assert all(f == own[f.name] for f in found.value.args[0])
+
+
 def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
