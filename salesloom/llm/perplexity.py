@@ -13,15 +13,17 @@ U+0FFF on share symbols (code point modulo 4093). Documents begin after order -
 
 Cases: null text counts as empty: no words, no perplexity, base_failed; a null language is a language
 of its own; a text whose language has no text in the other fold has no perplexity and is judged by the
-base rules alone; texts are scored whole; equal rows get equal scores, rows that repeat a doc_id are scored
-each; a table without text has no bands and an empty result if it has no rows; other columns are kept
-by ``drop_low_quality`` and not read otherwise.
+base rules alone; texts are scored whole; equal rows get equal scores; rows that repeat a doc_id or have
+none are scored, and kept or dropped, each by itself; a table without text has no bands and an empty
+result if it has no rows; other columns are kept by ``drop_low_quality`` and not read otherwise.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from salesloom.session import stage
 
-from .common import chunks, without
+from .common import chunks
 
 ORDER = 5
 BITS = 12
@@ -87,8 +89,16 @@ def _by_language(langs: pa.Array, texts: list[str]) -> Iterator[tuple[str, list[
 
 def with_fold(docs: DataFrame) -> DataFrame:
     """``docs`` with ``lang`` set to the language, a zero character and the fold of the text, 0 or 1."""
-    fold = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(2)).cast("string")
-    return docs.withColumn("lang", F.concat(F.coalesce("lang", F.lit("")), F.lit("\0"), fold))
+    return docs.withColumn("lang", fold_label(docs))
+
+
+def fold_label(docs: DataFrame):
+    fold = F.pmod(F.xxhash64(F.coalesce(docs["text"], F.lit(""))), F.lit(2)).cast("string")
+    return F.concat(F.coalesce(docs["lang"], F.lit("")), F.lit("\0"), fold)
+
+
+def text_key(docs: DataFrame):
+    return F.unhex(F.md5(F.coalesce(docs["text"], F.lit(""))))
 
 
 def of_fold(label: str = "lang"):
@@ -320,6 +330,8 @@ def repeated_words(words: list[bytes], width: int = 3) -> int:
     return int(marked.sum())
 
 
+#: What a row's sums and verdict hang on, and its id, so that copies don't meet in one task.
+ROW = ("doc_id", "lang", "text_key")
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -335,7 +347,7 @@ def _log_sums(langs: pa.Array, texts: list[str], arrays: HashArrays) -> tuple[np
 
 
 def score_documents(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """doc_id, lang, the word statistics, ``found`` (characters scored) and ``log_ppl`` of every row.
+    """doc_id, lang, text_key, the word statistics, ``found`` (characters scored) and ``log_ppl`` of every row.
 
     ``log_ppl`` is null without text and without a model of the label.
 
@@ -344,7 +356,7 @@ def score_documents(docs: DataFrame, model: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     hashed = stage(hashed_model(model), "model")
     shards = -(-hashed.count() // SHARD_GRAMS) or 1
-    source = docs.select("doc_id", "lang", "text")
+    source = docs.select("doc_id", "lang", "text", text_key(docs).alias("text_key"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = None
     for shard in range(shards):
@@ -358,31 +370,30 @@ def score_documents(docs: DataFrame, model: DataFrame) -> DataFrame:
             for batch in batches:
                 for part, texts in chunks(batch, 2):
                     total, found = _log_sums(part.column(1), texts, arrays.value)
-                    columns = [part.column(0), part.column(1), pa.array(total), pa.array(found)]
-                    names = ["doc_id", "lang", "log_sum", "found"]
+                    columns = [part.column(0), part.column(1), part.column(3), pa.array(total), pa.array(found)]
+                    names = [*ROW, "log_sum", "found"]
                     if first:
                         stats = np.array([word_statistics(t) for t in texts], dtype=np.int64)
                         columns += [pa.array(stats[:, i]) for i in range(len(BASE))]
                         names += BASE
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-        out = f"doc_id {kind}, lang string, log_sum double, found bigint"
+        out = f"doc_id {kind}, lang string, text_key binary, log_sum double, found bigint"
         out += "".join(f", {n} bigint" for n in BASE) * first
         part = stage(source.mapInArrow(run, out), f"scores{shard}")
         arrays.destroy()
         if scored is None:
             scored = part
         else:
-            # rows that repeat a doc_id have the same text and share one sum
-            one = part.groupBy("doc_id", "lang").agg(
+            # rows alike in all three have the same sum
+            one = part.groupBy(*ROW).agg(
                 F.max("log_sum").alias("more"), F.max("found").alias("more_found")
             )
-            on = part_key(scored, one)
+            on = same_row(scored, one)
             scored = stage(
                 scored.join(one, on, "left")
                 .select(
-                    scored["doc_id"],
-                    scored["lang"],
+                    *(scored[c] for c in ROW),
                     (F.col("log_sum") + F.coalesce("more", F.lit(0.0))).alias("log_sum"),
                     (F.col("found") + F.coalesce("more_found", F.lit(0))).alias("found"),
                     *BASE,
@@ -390,16 +401,15 @@ def score_documents(docs: DataFrame, model: DataFrame) -> DataFrame:
                 f"sum{shard}",
             )
     return scored.select(
-        "doc_id",
-        "lang",
+        *ROW,
         *BASE,
         "found",
         F.when(F.col("found") > 0, -F.col("log_sum") / F.col("found")).alias("log_ppl"),
     )
 
 
-def part_key(a: DataFrame, b: DataFrame):
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & a["lang"].eqNullSafe(b["lang"])
+def same_row(a: DataFrame, b: DataFrame):
+    return reduce(and_, (a[c].eqNullSafe(b[c]) for c in ROW))
 
 
 def scaled(middle: str = "middle"):
@@ -439,27 +449,32 @@ def bands(scored: DataFrame) -> DataFrame:
     )
 
 
-def quality_rules(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, lang, text): statistics, perplexity, base_failed, kept."""
-    docs = with_fold(docs.select("doc_id", "lang", "text"))
+def judged(docs: DataFrame) -> DataFrame:
+    """The scored rows with base_failed and kept; ``docs`` with folds."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     scored = score_documents(docs, fold_model(docs)).withColumn("base_failed", failed)
     limits = bands(scored).select(F.col("lang").alias("of"), "middle", "low", "high")
     # without a perplexity there is nothing to judge by but the base rules
     inside = F.coalesce(scaled().between(F.col("low"), F.col("high")), F.lit(True))
-    return scored.join(F.broadcast(limits), of_fold() == F.col("of"), "left").select(
-        "doc_id",
-        *BASE,
-        "base_failed",
-        (~F.col("base_failed") & inside).alias("kept"),
-        F.round(F.exp("log_ppl"), 4).alias("perplexity"),
+    found = scored.join(F.broadcast(limits), of_fold() == F.col("of"), "left")
+    return found.withColumn("kept", ~F.col("base_failed") & inside)
+
+
+def quality_rules(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, lang, text): statistics, perplexity, base_failed, kept."""
+    return judged(with_fold(docs.select("doc_id", "lang", "text"))).select(
+        "doc_id", *BASE, "base_failed", "kept", F.round(F.exp("log_ppl"), 4).alias("perplexity")
     )
 
 
 def drop_low_quality(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that ``quality_rules`` rejects.
+    """``docs`` without the rows that ``quality_rules`` rejects, with or without a doc_id.
 
-    Rows without a doc_id go too: nothing tells the kept ones among them from the others.
+    Merged at any size, as what is rejected grows with the documents.
     """
-    rejected = quality_rules(docs).filter("not kept or doc_id is null").select("doc_id")
-    return without(docs, rejected)
+    rejected = judged(with_fold(docs.select("doc_id", "lang", "text"))).filter("not kept")
+    names = [f"rejected_{c}" for c in ROW]
+    gone = rejected.select(*(F.col(c).alias(n) for c, n in zip(ROW, names, strict=True))).distinct().hint("merge")
+    of = (docs["doc_id"], fold_label(docs), text_key(docs))
+    on = reduce(and_, (c.eqNullSafe(gone[n]) for c, n in zip(of, names, strict=True)))
+    return docs.join(gone, on, "left_anti")

@@ -235,6 +235,23 @@ def test_no_text_counts_in_its_own_model(spark):
     assert row.kept and row.perplexity is None
 
 
+def test_rows_keep_their_own_verdict(spark, monkeypatch):
+    good = [" ".join(f"{w}{i % 3}" for w in (f"w{j * (i + 3) % 97}" for j in range(60))) for i in range(6)]
+    rows = [(i, "en", t) for i, t in enumerate(good)]
+    rows += [(None, "en", good[0] + " more"), (None, "en", "too short"), (7, "en", good[1] + " more"), (7, "en", "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    key = ("n_words", "word_chars", "perplexity")
+    whole = sorted(tuple(r[k] or 0 for k in key) for r in perplexity.quality_rules(docs).collect())
+    monkeypatch.setattr(perplexity, "SHARD_GRAMS", 100)
+    split = sorted(tuple(r[k] or 0 for k in key) for r in perplexity.quality_rules(docs).collect())
+    assert all(math.isclose(a, b, rel_tol=1e-3) for x, y in zip(whole, split, strict=True) for a, b in zip(x, y, strict=True))
+    monkeypatch.undo()
+    monkeypatch.setattr(perplexity, "LEAST_SD", 1e6)
+    left = {(r.doc_id, r.text) for r in perplexity.drop_low_quality(docs).collect()}
+    assert (None, good[0] + " more") in left and (7, good[1] + " more") in left
+    assert not left & {(None, "too short"), (7, "short")}
+
+
 def test_bands_reject_both_sides(spark):
     rows = [("en\0" + str(i % 2), 2.0 + (i % 11 - 5) / 50, 400, False) for i in range(110)]
     scored = spark.createDataFrame(rows, "lang string, log_ppl double, found long, base_failed boolean")
