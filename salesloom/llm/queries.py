@@ -12,10 +12,13 @@ from .chat_format import perspectives
 from .common import table
 from .exact_dedup import exact_duplicates
 from .html_text import extract_main_text
+from .license_scan import TEMPLATES, THRESHOLD, license_report, words_of
+from .merkle_manifest import tamper_report
 from .mixing import mix
 from .near_dedup import near_duplicates
 from .perplexity import quality_rules
 from .personal_data import personal_data_report
+from .token_alignment import align
 from .token_counts import count_tokens
 from .toxicity import score_toxicity, train
 
@@ -64,6 +67,20 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_report(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align(docs, *paths)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tamper_report(table(spark, sf_dir, "documents"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents")).drop("blocks")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
@@ -75,8 +92,114 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_personal_data": op10_personal_data,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_license_scan": op13_license_scan,
 }
 
+
+def _merkle_sql(levels: int = 24, top_levels: int = 12) -> str:
+    """Trees level by level: a run of three is a string of digests, a leaf's siblings what its run holds besides.
+
+    Good for up to 3 ** ``levels`` rows of a source and 3 ** ``top_levels`` sources.
+    """
+    shown = "coalesce(octet_length(encode({0}::VARCHAR))::VARCHAR || ':' || {0}::VARCHAR, '-')"
+    fields = [shown.format(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    text = "sha256(" + " || ".join([*fields, shown.format("text")]) + ")"
+    altered = "sha256(" + " || ".join([*fields, shown.format("replace(text, chr(10), '')")]) + ")"
+    # eight shifts a byte, the first of which takes the byte in
+    crc = """xor(list_reduce(
+        list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+            lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+        lambda c, e: xor(xor(c, e) >> 1, (xor(c, e) & 1) * 3988292384::BIGINT)), 4294967295::BIGINT)"""
+    parts = [
+        f"""WITH given AS (
+            SELECT row_number() OVER () AS row, doc_id, source, {text} AS leaf, {altered} AS altered, {crc} AS crc
+            FROM documents
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+                   CASE WHEN crc % 2 = 0 THEN altered ELSE leaf END AS tried
+            FROM given
+        ), n0 AS (SELECT coalesce('s' || source, 'n') AS tree, place, leaf AS digest FROM placed
+        ), t0 AS (SELECT *, coalesce('s' || source, 'n') AS tree, '' AS siblings FROM placed"""
+    ]
+
+    def climb(nodes: str, rows: str, count: int) -> None:
+        for i in range(count):
+            width = 3 ** (i + 1)
+            parts.append(
+                f"""), r{nodes}{i} AS (
+            SELECT tree, place // 3 AS place, string_agg(digest, '' ORDER BY place) AS run,
+                   max(n) AS n FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {nodes}{i}) GROUP BY 1, 2
+        ), {nodes}{i + 1} AS (
+            SELECT tree, place, CASE WHEN n > 1 THEN sha256(run) ELSE run END AS digest FROM r{nodes}{i}
+        ), {rows}{i + 1} AS (
+            SELECT t.* EXCLUDE (cut) REPLACE (
+                CASE WHEN n > 1 THEN sha256(run[:cut] || tried || run[cut + 65:]) ELSE tried END AS tried,
+                CASE WHEN n > 1 THEN siblings || run[:cut] || run[cut + 65:] ELSE siblings END AS siblings)
+            FROM (SELECT *, 64 * ((place // {width // 3}) % 3) AS cut FROM {rows}{i}) t
+            JOIN r{nodes}{i} r ON r.tree = t.tree AND r.place = t.place // {width}"""
+            )
+
+    climb("n", "t", levels)
+    parts.append(
+        f"""), subroots AS (
+            SELECT tree AS name, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place FROM n{levels}
+        ), m0 AS (SELECT 'all' AS tree, place, subroot AS digest FROM subroots
+        ), u0 AS (
+            SELECT t.* EXCLUDE (tree, place), 'all' AS tree, s.place, s.subroot FROM t{levels} t JOIN subroots s ON s.name = t.tree"""
+    )
+    climb("m", "u", top_levels)
+    parts.append(
+        f""")
+        SELECT doc_id, leaf, subroot, digest AS root, sha256(siblings) AS proof_sha256, tried AS folded_root,
+               tried = digest AS verified
+        FROM u{top_levels} JOIN m{top_levels} USING (tree)"""
+    )
+    return "\n".join(parts)
+
+
+def _license_sql() -> str:
+    """Common words of every block with every template, without filters."""
+    rows = []
+    for number, (text, label) in enumerate(TEMPLATES):
+        words = words_of(text)
+        need = -(-len(set(words)) * THRESHOLD.numerator // THRESHOLD.denominator)
+        rows.append(f"({number}, '{label}', {len(words)}, {need}, {sorted(set(words))})")
+    return rf"""
+        WITH templates(number, label, stride, need, words) AS (VALUES {", ".join(rows)}
+        ), w AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+            FROM documents
+        ), phrases(phrase, base_label) AS (
+            VALUES (['cc', 'by'], 'cc-by'), (['general', 'public', 'license'], 'gpl'), (['all', 'rights', 'reserved'], 'reserved')
+        ), places AS (
+            SELECT row, base_label, unnest(list_filter(range(len(ws)), lambda i: ws[i + 1:i + len(phrase)] = phrase)) AS start
+            FROM w, phrases
+        ), base AS (
+            SELECT row, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+                   list_distinct(list(base_label)) AS labels FROM places GROUP BY row
+        ), held AS (
+            SELECT row, number, label, stride, need, len(words) AS size, pos, word
+            FROM (SELECT row, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM w)
+            JOIN (SELECT *, unnest(words) AS word FROM templates) USING (word)
+        ), contained AS (
+            SELECT row, number, label, need, size, block, count(DISTINCT word) AS common
+            FROM (SELECT *, unnest([pos // stride, pos // stride - 1]) AS block FROM held) WHERE block >= 0 GROUP BY ALL
+        ), more AS (
+            SELECT row, list_distinct(list(label)) AS labels, max(common::DOUBLE / size) AS share
+            FROM contained WHERE common >= need GROUP BY row
+        )
+        SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+               coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+               array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',')
+                   AS labels,
+               CASE WHEN n_base IS NOT NULL THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
+        FROM w LEFT JOIN base USING (row) LEFT JOIN more USING (row)
+    """
+
 ORACLES: dict[str, str] = {
     "op5_near_dedup": r"""
         WITH RECURSIVE w AS (
@@ -147,4 +270,6 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
         FROM grouped
     """,
+    "op12_merkle_manifest": _merkle_sql(),
+    "op13_license_scan": _license_sql(),
 }
