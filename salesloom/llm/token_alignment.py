@@ -9,12 +9,16 @@ postings, and each segment adds them up per document.
 from __future__ import annotations
 
 import os
+from collections import ChainMap
 from collections.abc import Callable, Iterator
 from functools import cache
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,31 +30,60 @@ from .common import chunks
 #: Documents of a segment at most; their places in it fit in two bytes.
 SEGMENT_DOCS = 4096
 #: Code points of text after which a segment ends; one longer text is a segment alone.
-SEGMENT_CHARS = 4_000_000
+SEGMENT_CHARS = 1_000_000
 
 PLACES, BITS = b"\x00", b"\x01"
 
 
+#: Code points below this have long had their letter and digit classes, so every library splits them alike.
+PLAIN_BELOW = "\u0250"
+#: Characters of a cached word at most, and characters after which the cache is emptied.
+CACHED_WORD, CACHE_CHARS = 32, 4_000_000
+
+
+class _ByteLevel:
+    """Encoder of a byte-level vocabulary file, with a cache of words for texts of plain letters."""
+
+    def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = True
+        self._split = regex.compile(public_tokenizers.PATTERN).findall
+        self._cache: dict[str, list[int]] = {}
+        self._held = 0
+        # printable bytes stand for themselves, the others for code points from 256 on
+        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = [b for b in range(256) if b not in printable]
+        byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+        size = self._tokenizer.get_vocab_size(with_added_tokens=True)
+        tokens = [self._tokenizer.id_to_token(i) or "" for i in range(size)]
+        self.known = np.array([bytes(byte_of[c] for c in t) if set(t) <= byte_of.keys() else b"" for t in tokens], object)
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def __call__(self, texts: list[str]) -> list[list[int]]:
+        words = [self._split(t) if t.isascii() or max(t) < PLAIN_BELOW else None for t in texts]
+        whole = iter(self._encoded([t for t, w in zip(texts, words) if w is None]))
+        new = list({w for found in words if found for w in found} - self._cache.keys())
+        if self._held > CACHE_CHARS:
+            self._cache, self._held = {}, 0
+            new = list({w for found in words if found for w in found})
+        fresh = dict(zip(new, self._encoded(new)))
+        short = {w: ids for w, ids in fresh.items() if len(w) <= CACHED_WORD}
+        self._cache |= short
+        self._held += sum(map(len, short))
+        look = ChainMap(fresh, self._cache) if len(short) < len(fresh) else self._cache
+        return [next(whole) if w is None else list(chain.from_iterable(map(look.__getitem__, w))) for w in words]
+
+
 @cache
 def _byte_level(path: str) -> tuple[Callable[[list[str]], list[list[int]]], np.ndarray]:
     """Encoder of a byte-level vocabulary and the bytes of each id."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    # printable bytes stand for themselves, the others for code points from 256 on
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in printable]
-    byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-    size = tokenizer.get_vocab_size(with_added_tokens=True)
-    tokens = [tokenizer.id_to_token(i) or "" for i in range(size)]
-    known = np.array([bytes(byte_of[c] for c in t) if set(t) <= byte_of.keys() else b"" for t in tokens], object)
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-
-    return encode, known
+    encoder = _ByteLevel(path)
+    return lambda texts: encoder([" " + t for t in texts]), encoder.known
 
 
 @cache
@@ -83,28 +116,31 @@ class Alignment:
         self.ids_a, self.ids_b = _together(a), _together(b)
         # the bytes of all documents in a row: both tokenizers end at each document's end
         self.ends_a, self.ends_b = np.cumsum(size_a[self.ids_a]), np.cumsum(size_b[self.ids_b])
-        self.shared = np.intersect1d(self.ends_a, self.ends_b, assume_unique=True)
-        ends = np.union1d(self.ends_a, self.ends_b)
+        length = int(self.ends_a[-1]) + 1 if len(self.ends_a) else 0
+        at_a, at_b = np.zeros(length, bool), np.zeros(length, bool)
+        at_a[self.ends_a], at_b[self.ends_b] = True, True
+        self.last_a, self.last_b = at_b[self.ends_a], at_a[self.ends_b]
         # between two neighbouring ends lies one token of each side: a link
-        self.link_a = np.searchsorted(self.ends_a, ends)
-        self.link_b = np.searchsorted(self.ends_b, ends)
+        ends = np.flatnonzero(at_a | at_b)
+        self.link_a = np.cumsum(at_a)[ends] - at_a[ends]
+        self.link_b = np.cumsum(at_b)[ends] - at_b[ends]
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Groups and links per document."""
         doc = np.repeat(np.arange(len(self.n_a)), self.n_a)
-        groups = np.bincount(doc[np.searchsorted(self.ends_a, self.shared)], minlength=len(self.n_a))
+        groups = np.bincount(doc[self.last_a], minlength=len(self.n_a))
         return groups, np.bincount(doc[self.link_a], minlength=len(self.n_a))
 
     def group_digests(self) -> list[str]:
         """sha256 of the groups as ``a1,a2|b1;a3|b2``, empty for documents without tokens."""
-        last_a = np.isin(self.ends_a, self.shared, assume_unique=True)
-        last_b = np.isin(self.ends_b, self.shared, assume_unique=True)
-        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        group_a, group_b = np.cumsum(self.last_a) - self.last_a, np.cumsum(self.last_b) - self.last_b
         ids = np.concatenate([self.ids_a, self.ids_b])
-        # a sign for what follows an id: a comma, a bar after a group's last A, a semicolon after its last B
-        sign = np.concatenate([last_a.astype(np.int8), 2 * last_b.astype(np.int8)])
+        # what follows an id: a comma, a bar after a group's last A, a semicolon after its last B
+        sign = np.concatenate([self.last_a.astype(np.int64), 2 * self.last_b.astype(np.int64)])
+        # two sorted runs, which a stable sort merges
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        shown = [f"{i}{',|;'[s]}" for i, s in zip(ids[order].tolist(), sign[order].tolist())]
+        texts = _signed_ids(int(ids.max(initial=0)) + 1)
+        shown = [texts[i] for i in (3 * ids + sign)[order].tolist()]
         ends = np.cumsum(self.n_a + self.n_b).tolist()
         out, start = [], 0
         for end in ends:
@@ -124,6 +160,15 @@ class Alignment:
         return pair[starts], doc[starts], np.diff(np.append(starts, len(pair)))
 
 
+_SIGNED: list[str] = []
+
+
+def _signed_ids(count: int) -> list[str]:
+    """Each id with a comma, a bar and a semicolon, in turn."""
+    _SIGNED.extend(f"{i}{sign}" for i in range(len(_SIGNED) // 3, count) for sign in ",|;")
+    return _SIGNED
+
+
 def _together(arrays: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
 
