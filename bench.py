@@ -27,6 +27,9 @@ HEADLINE = (
     "branch_allocation",
     "own_brand_allocation",
     "own_brand_plan_sma",
+    "boosting_frame",
+    "gbt_cluster_forecast",
+    "entire_plan_result",
 )
 
 

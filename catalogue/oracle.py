@@ -562,25 +562,30 @@ CTES["own_allocated_after"] = _own_allocated(
     "own_rows_after", "own_border_after", "own_ratchet_after", "own_prepared_after"
 )
 
-# some names are also column names: only a table position counts
-TABLE_POSITION = re.compile(r"(?:FROM|JOIN)\s+(" + "|".join(sorted(CTES, key=len, reverse=True)) + r")\b")
 
+def with_ctes(body: str, **replaced: str) -> str:
+    """Put the expressions a query needs in front of it, each after those it needs itself.
 
-def with_ctes(body: str) -> str:
-    """Put the expressions a query needs in front of it, each after those it needs itself."""
+    ``replaced`` are other texts for some of them.
+    """
     ordered: list[str] = []
+    ctes = CTES | replaced
+    # some names are also column names: only a table position counts
+    table_position = re.compile(r"(?:FROM|JOIN)\s+(" + "|".join(sorted(CTES, key=len, reverse=True)) + r")\b")
 
     def add(text: str) -> None:
-        for name in TABLE_POSITION.findall(text):
+        for name in table_position.findall(text):
             if name not in ordered:
-                add(CTES[name])
+                add(ctes[name])
                 if name not in ordered:
                     ordered.append(name)
 
     add(body)
     if not ordered:
         return body.strip()
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in ordered) + "\n" + body.strip()
+    # steps of a tree read the one before more than once
+    kept = lambda n: "AS MATERIALIZED" if n.startswith("gb_") else "AS"
+    return "WITH " + ",\n".join(f"{n} {kept(n)} ({ctes[n]})" for n in ordered) + "\n" + body.strip()
 
 
 def _status(allocated: str, plans: str) -> str:
@@ -769,6 +774,135 @@ BODIES: dict[str, str] = {
     "own_brand_plan_sma": _moved("own_allocated_after"),
 }
 
+# --- boosted models: the whole feature frame, cut points, and two trees of two levels written out ---
+
+CTES["gb_categories"] = BODIES["rare_category_impute"]
+CTES["gb_clusters"] = BODIES["cohort_decile_clusters"]
+CTES["gb_mad"] = BODIES["mad_feature"]
+CTES["gb_history"] = f"""
+SELECT u.segment, u.month, u.target, {", ".join(f"a.{c}" for c in EXOG)}
+FROM future u LEFT JOIN active a ON a.segment = u.segment AND a.month = u.month"""
+CTES["gb_managers"] = """
+SELECT d.manager, d.month, avg(a2.target) AS mean
+FROM (SELECT DISTINCT c1.manager, f.month FROM future f JOIN gb_categories c1 ON c1.segment = f.segment) d
+JOIN gb_categories c2 ON c2.manager = d.manager JOIN active a2 ON a2.segment = c2.segment AND a2.month < d.month
+GROUP BY ALL"""
+_kept_rolling = [c for c in ROLLING if c not in ("min_3", "max_3", "min_6", "max_6")]
+_ratios = [
+    (f"{n}_{w}", f"rolling.{a}_{w} / nullif(rolling.{b}_{w}, 0)")
+    for w in (3, 6)
+    for n, a, b in (("minmax_mean_rel", "minmax", "mean"), ("minmax_rel", "min", "max"), ("min_rel", "min", "mean"), ("max_rel", "max", "mean"))
+]
+_frame = (
+    [(f"lag_{k}", f"h.lag_{k}") for k in (1, 3, 6)]
+    + [(f"lag_{c}_1", f"h.lag_{c}_1") for c in EXOG]
+    + [(c, f"rolling.{c}") for c in _kept_rolling]
+    + [("mean_23", "h.mean_23"), ("mean_32", "h.mean_32"), ("mad_3", "gb_mad.mad_3"), ("segment_mean", "h.segment_mean")]
+    + [("month_number", "month(h.month)"), ("year_number", "year(h.month)")]
+    + [("season_number", "CASE WHEN month(h.month) IN (12, 1, 2) THEN 1 WHEN month(h.month) <= 5 THEN 2 WHEN month(h.month) <= 8 THEN 3 ELSE 4 END")]
+    + _ratios
+    + [(f"minmax_mean_rel_{w}_flag", f"CAST(coalesce(rolling.minmax_{w} / nullif(rolling.mean_{w}, 0) > 1, false) AS INT)") for w in (3, 6)]
+    + [("holidays", "d.holidays"), ("work_day", "d.work_day"), ("manager_mean", "m.mean")]
+    + [(c, f"c.{c}") for c in NUMERIC]
+)
+CTES["gb_frame"] = f"""
+SELECT h.segment, h.month, CAST(coalesce(h.target, 0) AS DOUBLE) AS target, k.comb, {", ".join(f"c.{c}" for c in GROUPED)},
+       {", ".join(f"{r(f'coalesce({value}, 0)', 4)} AS {name}" for name, value in _frame)}
+FROM (SELECT segment, month, target, {", ".join(f"lag(target, {k}) {OVER} AS lag_{k}" for k in (1, 3, 6))},
+             {", ".join(f"lag({c}, 1) {OVER} AS lag_{c}_1" for c in EXOG)}, {_strided("mean_23", (1, 4))},
+             {_strided("mean_32", (1, 3, 5))},
+             avg(target) OVER (PARTITION BY segment ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS segment_mean
+      FROM gb_history) h
+JOIN rolling ON rolling.segment = h.segment AND rolling.month = h.month
+JOIN gb_mad ON gb_mad.segment = h.segment AND gb_mad.month = h.month
+JOIN month_days d ON d.month = h.month JOIN gb_categories c ON c.segment = h.segment
+JOIN gb_clusters k ON k.segment = h.segment
+LEFT JOIN gb_managers m ON m.manager = c.manager AND m.month = h.month"""
+_SHORT = "mad_3 mean_3 std_3 minmax_3 minmax_mean_rel_3 minmax_rel_3 minmax_mean_rel_3_flag min_rel_3 max_rel_3 mean_32".split()
+NUMBERS = sorted(name for name, _ in _frame)
+SQUARED_INPUTS = [c for c in NUMBERS if c not in (*_SHORT, "manager_mean", "segment_mean")]
+CTES["gb_long"] = f"""
+SELECT segment, month, comb, target, name, v FROM gb_frame UNPIVOT (v FOR name IN ({", ".join(SQUARED_INPUTS)}))"""
+CTES["gb_cuts"] = f"""
+SELECT comb, name, quantile_disc(v, [{", ".join(f"{k / 32}e0" for k in range(1, 32))}]) AS cuts
+FROM gb_long WHERE month < {P} GROUP BY comb, name"""
+CTES["gb_bins"] = """
+SELECT l.segment, l.month, l.name, len(list_filter(list_distinct(cuts), lambda x: x < v)) AS bin
+FROM gb_long l JOIN gb_cuts c ON c.comb = l.comb AND c.name = l.name"""
+CTES["gb_rows"] = f"""
+SELECT * FROM (
+  SELECT comb, kind, segment, month, CAST(floor(target * 100 + 0.5e0) AS BIGINT) AS y, month < border AS train,
+         bool_or(month < border) OVER w AND bool_or(month = border) OVER w AS usable
+  FROM gb_frame CROSS JOIN (VALUES ('fold1', DATE '2001-06-01'), ('fold2', DATE '2001-05-01'), ('fold3', DATE '2001-04-01'),
+       ('holdout', {HOLDOUT}), ('final', {P})) k(kind, border)
+  WHERE month <= border WINDOW w AS (PARTITION BY comb, kind))
+WHERE usable"""
+CTES["gb_value0"] = """
+SELECT r.*, CAST(floor(CAST(s AS DOUBLE) / n + 0.5e0) AS BIGINT) AS value
+FROM gb_rows r JOIN (SELECT comb, kind, sum(y) AS s, count(*) AS n FROM gb_rows WHERE train GROUP BY ALL) m
+  ON m.comb = r.comb AND m.kind = r.kind"""
+# of the small family: trees, levels, rows of a leaf at least, step
+TREES, LEVELS, LEAST, STEP = 2, 2, 5, "0.1e0"
+for _t in range(TREES):
+    CTES[f"gb_node{_t}_0"] = f"SELECT *, y - value AS res, 0 AS node FROM gb_value{_t}"
+    for _l in range(LEVELS):
+        CTES[f"gb_split{_t}_{_l}"] = f"""
+WITH h AS (SELECT comb, kind, node, b.name, b.bin, CAST(sum(res) AS DOUBLE) AS g, count(*) AS c
+           FROM gb_node{_t}_{_l} x JOIN gb_bins b ON b.segment = x.segment AND b.month = x.month WHERE train GROUP BY ALL),
+     s AS (SELECT comb, kind, node, name, bin, sum(g) OVER w AS gl, sum(c) OVER w AS nl,
+                  sum(g) OVER p AS gt, sum(c) OVER p AS nt
+           FROM h WINDOW p AS (PARTITION BY comb, kind, node, name), w AS (PARTITION BY comb, kind, node, name ORDER BY bin)),
+     v AS (SELECT *, gl * gl / nl + (gt - gl) * (gt - gl) / (nt - nl) AS gain, gt * gt / nt AS parent
+           FROM s WHERE nl >= {LEAST} AND nt - nl >= {LEAST})
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY comb, kind, node ORDER BY gain DESC, name, bin) AS k FROM v WHERE gain > parent)
+WHERE k = 1"""
+        CTES[f"gb_node{_t}_{_l + 1}"] = f"""
+SELECT x.* REPLACE (CASE WHEN s.name IS NULL THEN x.node WHEN b.bin <= s.bin THEN 2 * x.node + 1 ELSE 2 * x.node + 2 END AS node)
+FROM gb_node{_t}_{_l} x LEFT JOIN gb_split{_t}_{_l} s ON s.comb = x.comb AND s.kind = x.kind AND s.node = x.node
+LEFT JOIN gb_bins b ON b.segment = x.segment AND b.month = x.month AND b.name = s.name"""
+    CTES[f"gb_value{_t + 1}"] = f"""
+SELECT x.* EXCLUDE (res, node) REPLACE (x.value + CAST(floor({STEP} * (CAST(s AS DOUBLE) / n) + 0.5e0) AS BIGINT) AS value)
+FROM gb_node{_t}_{LEVELS} x
+JOIN (SELECT comb, kind, node, sum(res) AS s, count(*) AS n FROM gb_node{_t}_{LEVELS} WHERE train GROUP BY ALL) l
+  ON l.comb = x.comb AND l.kind = x.kind AND l.node = x.node"""
+CTES["gb_forecasts"] = f"""
+SELECT comb, segment, kind, CAST(y AS DOUBLE) / 100 AS actual,
+       CASE WHEN kind = 'final' THEN CAST(value AS DOUBLE) ELSE greatest(CAST(value AS DOUBLE), 0) END / 100 AS forecast
+FROM gb_value{TREES} WHERE NOT train"""
+CTES["gb_scores"] = """
+SELECT segment, 'lgb_ms' AS model, mean + coalesce(dev, 0) AS mae, hd_preds, final_preds
+FROM (SELECT segment, avg(CASE WHEN kind LIKE 'fold%' THEN abs(actual - forecast) END) AS mean,
+             stddev_samp(CASE WHEN kind LIKE 'fold%' THEN abs(actual - forecast) END) AS dev,
+             max(CASE WHEN kind = 'holdout' THEN forecast END) AS hd_preds,
+             max(CASE WHEN kind = 'final' THEN forecast END) AS final_preds FROM gb_forecasts GROUP BY segment)
+WHERE mean IS NOT NULL AND hd_preds IS NOT NULL"""
+CTES["gb_all_scores"] = "SELECT * FROM scores UNION ALL SELECT * FROM gb_scores"
+CTES["gb_chosen"] = _chosen("gb_all_scores", "active").replace(
+    "WHERE final_preds <> 0",
+    "WHERE (model <> 'lgb_ms' OR hd_preds / nullif(final_preds, 0) BETWEEN 0.25e0 AND 1.75e0) AND final_preds <> 0",
+)
+_gains = " UNION ALL ".join(
+    f"SELECT comb, name, gain - parent AS gain FROM gb_split{t}_{l} WHERE kind = 'holdout'" for t in range(TREES) for l in range(LEVELS)
+)
+BODIES |= {
+    "boosting_frame": f"SELECT segment, month, target, comb, {', '.join(GROUPED)}, {', '.join(NUMBERS)} FROM gb_frame",
+    "feature_cuts": """SELECT comb, name AS feature, CAST(unnest(range(1, 32)) AS INT) AS k, unnest(cuts) + 0.0 AS cut
+        FROM gb_cuts""",
+    "gbt_small_forecasts": f"SELECT comb, segment, kind, {r('actual', 2)} AS actual, {r('forecast', 2)} AS forecast FROM gb_forecasts",
+    "gbt_small_importances": f"""
+        SELECT * FROM (WITH g AS ({_gains}),
+             u AS (SELECT DISTINCT comb, f.name FROM gb_rows
+                   CROSS JOIN (SELECT unnest({SQUARED_INPUTS}) AS name) f WHERE kind = 'holdout')
+        SELECT u.comb, u.name AS feature, {r("coalesce(sum(gain), 0) / coalesce(nullif(any_value(t), 0), 1)")} AS importance
+        FROM u LEFT JOIN g ON g.comb = u.comb AND g.name = u.name
+        LEFT JOIN (SELECT comb, sum(gain) AS t FROM g GROUP BY comb) z ON z.comb = u.comb GROUP BY u.comb, u.name)""",
+    "boosted_model_selection": f"SELECT segment, model, {r('hd_preds', 4)} AS hd_preds, actual, target FROM gb_chosen",
+}
+
 
 def oracle_sql() -> dict[str, str]:
-    return {name: with_ctes(body) for name, body in BODIES.items()}
+    found = {name: with_ctes(body) for name, body in BODIES.items()}
+    # the same plan from a choice that has boosted forecasts in it
+    boosted = CTES["forecast"].replace("FROM chosen", "FROM gb_chosen")
+    found["entire_plan_boosted_small"] = with_ctes(_moved("allocated"), forecast=boosted)
+    return found

@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.context import EXOGENOUS, GROUPED_CATEGORIES, PLAN_VALUE_COLUMN, AllocationLevel, entire_levels
-from salesloom.operators import allocation, boosting, categories, clusters, features, moving_average
+from salesloom.operators import allocation, bins, boosting, categories, clusters, features, moving_average
 from salesloom.operators import own_brand as own
 from salesloom.operators import selection, stretch
 from salesloom.operators.month_calendar import with_month_days
 from salesloom.operators.panel import common_grid, monthly_own_brand, monthly_shipments, with_card, year_grid
 from salesloom.operators.segments import class_forecasts, segment_classes
-from salesloom.operators.tuning import SearchBudget
+from salesloom.operators.tuning import SearchBudget, TreeParams
 from salesloom.operators.wallet import wallet_share
 from salesloom.plans.entire import boosted, client_forecast, entire_plan
 from salesloom.plans.own_brand import own_brand_plan
@@ -32,7 +32,7 @@ from salesloom.sources.loaders import (
 CTX = fixtures.FIXTURE_CONTEXT
 # no client of the test tables reaches the usual limit of a big client
 LEVELS = entire_levels(big_target=2e5)
-# both families with their own parameters, search ranges and rings
+# all three rings over a family's own ranges
 SEARCHED = SearchBudget()
 
 
@@ -324,27 +324,72 @@ def model_score_summary(i: Inputs) -> DataFrame:
     return found.select(rounded("median_score"), rounded("mean_score"), rounded("std_score"))
 
 
+def _boosting_frame(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    cards = stage(i.cards, "cards")
+    labels = categories.frequent_values(cards, GROUPED_CATEGORIES)
+    return boosting.boosting_frame(i.active, cards, i.sources.calendar, CTX, labels=labels), cards
+
+
+@query_as("boosting_frame")
+def boosting_frame_table(i: Inputs) -> DataFrame:
+    return _boosting_frame(i)[0]
+
+
+@query_as("feature_cuts")
+def feature_cut_table(i: Inputs) -> DataFrame:
+    frame, _ = _boosting_frame(i)
+    names = boosting.family_inputs(boosting.model_inputs(frame), boosting.squared_family())
+    cuts = bins.feature_cuts(frame, names, CTX)
+    each = F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).alias("cuts")) for c in names))
+    found = cuts.select("comb", F.inline(each)).select("comb", "feature", F.posexplode("cuts"))
+    return found.select("comb", "feature", (F.col("pos") + 1).alias("k"), (F.col("col") + F.lit(0.0)).alias("cut"))
+
+
+def _fitted(i: Inputs, *families: boosting.Family) -> list[boosting.BoostingResult]:
+    return boosting.fit_families(i.active, stage(i.cards, "cards"), i.sources.calendar, families, CTX)
+
+
+# a family small enough to be written out in SQL
+SMALL_FAMILY = boosting.squared_family(TreeParams(trees=2, depth=2, min_rows=5))
+
+
+@query
+def gbt_small_forecasts(i: Inputs) -> DataFrame:
+    (found,) = _fitted(i, SMALL_FAMILY)
+    return found.forecasts.select("comb", "segment", "kind", rounded("actual", 2), rounded("forecast", 2))
+
+
+@query
+def gbt_small_importances(i: Inputs) -> DataFrame:
+    (found,) = _fitted(i, SMALL_FAMILY)
+    return found.importances.select("comb", "feature", rounded("importance"))
+
+
+@query
+def boosted_model_selection(i: Inputs) -> DataFrame:
+    """Choice between the moving averages and a boosted family, with the ratio test of the latter."""
+    (found,) = _fitted(i, SMALL_FAMILY)
+    active = i.classed.filter("segment_class = 'active'")
+    scores = i.scores.unionByName(found.scores.select(*i.scores.columns))
+    chosen = selection.choose_models(scores, selection.selection_facts(active, CTX))
+    return chosen.select("segment", "model", rounded("hd_preds", 4), "actual", "target")
+
+
 @query
 def gbt_cluster_forecast(i: Inputs) -> DataFrame:
-    families = [boosting.absolute_family(budget=SEARCHED), boosting.squared_family(budget=SEARCHED)]
-    cards = stage(i.cards, "cards")
-    first, second = boosting.fit_families(i.active, cards, i.sources.calendar, families, CTX, threads=8)
+    first, second = _fitted(i, boosting.absolute_family(), boosting.squared_family())
     return first.scores.unionByName(second.scores)
 
 
 @query
 def feature_importances(i: Inputs) -> DataFrame:
-    cards = stage(i.cards, "cards")
-    family = boosting.squared_family(budget=SEARCHED)
-    (found,) = boosting.fit_families(i.active, cards, i.sources.calendar, [family], CTX, threads=8)
+    (found,) = _fitted(i, boosting.squared_family())
     return found.importances.orderBy("comb", F.desc("importance"), "feature")
 
 
 @query
 def parameter_search_trials(i: Inputs) -> DataFrame:
-    cards = stage(i.cards, "cards")
-    family = boosting.squared_family(budget=SEARCHED)
-    (found,) = boosting.fit_families(i.active, cards, i.sources.calendar, [family], CTX, threads=8)
+    (found,) = _fitted(i, boosting.squared_family(budget=SEARCHED))
     return found.trials
 
 
@@ -471,8 +516,14 @@ def own_brand_plan_sma(i: Inputs) -> DataFrame:
 
 @query
 def entire_plan_result(i: Inputs) -> DataFrame:
-    families = [boosting.absolute_family(budget=SEARCHED), boosting.squared_family(budget=SEARCHED)]
-    return entire_plan(CTX, i.sources, boosted(families, threads=8), LEVELS).result
+    families = [boosting.absolute_family(), boosting.squared_family()]
+    return entire_plan(CTX, i.sources, boosted(families), LEVELS).result
+
+
+@query
+def entire_plan_boosted_small(i: Inputs) -> DataFrame:
+    plan = entire_plan(CTX, i.sources, boosted([SMALL_FAMILY]), LEVELS)
+    return plan.result.select("segment", "sale_loc", rounded("target", 4))
 
 
 __all__ = ["CTX", "Inputs", "REGISTRY"]

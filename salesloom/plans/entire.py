@@ -45,11 +45,11 @@ class PlanResult:
     trials: DataFrame | None = None
 
 
-def boosted(families: Sequence[Family], shift: int = 1, threads: int = 4) -> ModelFamilies:
+def boosted(families: Sequence[Family], shift: int = 1) -> ModelFamilies:
     """Model families to pass to :func:`entire_plan`: one boosted model per client cluster."""
 
     def fitted(classed: DataFrame, cards: DataFrame, sources: Sources, ctx: PlanContext) -> list:
-        return fit_families(active_panel(classed), cards, sources.calendar, families, ctx, shift, threads)
+        return fit_families(active_panel(classed), cards, sources.calendar, families, ctx, shift)
 
     return fitted
 

@@ -38,7 +38,6 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--keep-border-fill", action="store_true", help="keep the border fill in the ratchet")
     parser.add_argument("--own-brand-first-step", type=float, default=0.015)
     parser.add_argument("--shift", type=int, default=1, help="months between a row and its features' last month")
-    parser.add_argument("--threads", type=int, default=4, help="clusters fitted at a time")
     return parser.parse_args(argv)
 
 
@@ -61,7 +60,7 @@ def plan(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.models != "sma":
         budget = SearchBudget() if args.models == "tuned" else None
         both = [absolute_family(budget=budget), squared_family(budget=budget)]
-        families = boosted(both, args.shift, args.threads)
+        families = boosted(both, args.shift)
     entire = entire_plan(ctx, sources, families, strict_bands=not args.loose_bands)
     steps = own_brand_steps(args.own_brand_first_step)
     own = own_brand_plan(ctx, sources, entire, steps, args.keep_border_fill)

@@ -41,7 +41,7 @@ def test_passed_branches_meet_their_plan(both):
 
 def test_boosted_plan_covers_the_same_clients(spark, both):
     sources = fixtures.fixture_sources(spark, DATA)
-    families = boosted([squared_family(TreeParams(trees=1, depth=1))], threads=4)
+    families = boosted([squared_family(TreeParams(trees=1, depth=1))])
     plan = entire_plan(CTX, sources, families)
     assert plan.result.select("segment").subtract(both[0].result.select("segment")).isEmpty()
     assert plan.result.count() == both[0].result.count()
