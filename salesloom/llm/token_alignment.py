@@ -32,9 +32,6 @@ SEGMENT_DOCS = 4096
 #: Code points of text after which a segment ends; one longer text is a segment alone.
 SEGMENT_CHARS = 1_000_000
 
-PLACES, BITS = b"\x00", b"\x01"
-
-
 #: Code points below this have long had their letter and digit classes, so every library splits them alike.
 PLAIN_BELOW = "\u0250"
 #: Characters of a cached word at most, and characters after which the cache is emptied.
@@ -173,19 +170,13 @@ def _together(arrays: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
 
 
-def pack_bitmap(places: np.ndarray) -> bytes:
-    """Sorted places as two bytes each, or as bits up to the last place, whichever is shorter."""
+def pack_bitmap(places: np.ndarray) -> tuple[bytes, bool]:
+    """Sorted places as two bytes each, or as bits up to the last place (true), whichever is shorter."""
     if 2 * len(places) <= int(places[-1]) // 8 + 1:
-        return PLACES + places.astype("<u2").tobytes()
+        return places.astype("<u2").tobytes(), False
     bits = np.zeros(int(places[-1]) + 1, np.uint8)
     bits[places] = 1
-    return BITS + np.packbits(bits, bitorder="little").tobytes()
-
-
-def unpack_bitmap(packed: bytes) -> np.ndarray:
-    if packed[:1] == PLACES:
-        return np.frombuffer(packed, "<u2", offset=1).astype(np.int64)
-    return np.flatnonzero(np.unpackbits(np.frombuffer(packed, np.uint8, offset=1), bitorder="little"))
+    return np.packbits(bits, bitorder="little").tobytes(), True
 
 
 def pack_planes(counts: np.ndarray) -> bytes:
@@ -197,20 +188,52 @@ def pack_planes(counts: np.ndarray) -> bytes:
     return b"".join(planes)
 
 
-def unpack_planes(packed: bytes, n: int) -> np.ndarray:
-    counts = np.ones(n, np.int64)
-    if not packed:
-        return counts
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column side by side, and the length of each row."""
+    ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return data[ends[0] : ends[-1]], np.diff(ends).astype(np.int64)
+
+
+def _starts(lengths: np.ndarray) -> np.ndarray:
+    return np.cumsum(lengths) - lengths
+
+
+def unpack_postings(docs: pa.Array, bits: pa.Array, planes: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, document place and multiplicity of every posting of some pairs."""
+    is_bits = bits.to_numpy(zero_copy_only=False).astype(bool)
+    data, lengths = _bytes_of(docs)
+    row, place = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    own = np.repeat(is_bits, lengths)
+    listed = np.flatnonzero(~is_bits)
+    row = np.repeat(listed, lengths[listed] // 2)
+    place = data[~own].view("<u2").astype(np.int64)
+    if is_bits.any():
+        marked = np.flatnonzero(is_bits)
+        set_bits = np.flatnonzero(np.unpackbits(data[own], bitorder="little"))
+        ends = 8 * np.cumsum(lengths[marked])
+        of = np.searchsorted(ends, set_bits, side="right")
+        row = np.concatenate([row, marked[of]])
+        place = np.concatenate([place, set_bits - 8 * _starts(lengths[marked])[of]])
+        order = np.argsort(row, kind="stable")
+        row, place = row[order], place[order]
+    n = np.bincount(row, minlength=len(docs))
+    rank = np.arange(len(row)) - _starts(n)[row]
+    packed, lengths = _bytes_of(planes)
     width = (n + 7) // 8
-    for level in range(len(packed) // width):
-        plane = np.frombuffer(packed, np.uint8, count=width, offset=level * width)
-        counts += np.unpackbits(plane, count=n, bitorder="little").astype(np.int64) << level
-    return counts
+    levels = lengths // np.maximum(width, 1)
+    plane_bits = np.unpackbits(packed, bitorder="little")
+    links = np.ones(len(row), np.int64)
+    for level in range(int(levels.max(initial=0))):
+        at = np.flatnonzero(levels[row] > level)
+        bit = 8 * (_starts(lengths) + level * width)[row[at]] + rank[at]
+        links[at] += plane_bits[bit].astype(np.int64) << level
+    return row, place, links
 
 
 POSTING_SCHEMA = (
     "doc_id {id}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-    "segment long, place int, a int, b int, n_docs int, docs binary, planes binary"
+    "segment long, place int, a int, b int, n_docs int, docs binary, bits boolean, planes binary"
 )
 
 
@@ -272,6 +295,7 @@ def pair_postings(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             ends = np.append(starts[1:], len(pair))
             several = np.maximum.reduceat(count, starts) > 1
             spans = list(zip(starts.tolist(), ends.tolist(), several.tolist()))
+            bitmaps = [pack_bitmap(doc[s:e]) for s, e, _ in spans]
             yield _rows(
                 ids.type,
                 len(starts),
@@ -279,7 +303,8 @@ def pair_postings(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 a=pair[starts] >> 32,
                 b=pair[starts] & 0xFFFFFFFF,
                 n_docs=ends - starts,
-                docs=[pack_bitmap(doc[s:e]) for s, e, _ in spans],
+                docs=[packed for packed, _ in bitmaps],
+                bits=[is_bits for _, is_bits in bitmaps],
                 planes=[pack_planes(count[s:e]) if more else b"" for s, e, more in spans],
             )
 
@@ -287,7 +312,7 @@ def pair_postings(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, POSTING_SCHEMA.format(id=kind))
 
 
-TYPES = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+TYPES = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
 
 
 def _rows(id_type: pa.DataType, n: int, **columns) -> pa.RecordBatch:
@@ -311,8 +336,9 @@ def pair_counts(postings: DataFrame) -> DataFrame:
 
 def alignment_scores(postings: DataFrame, counts: DataFrame) -> DataFrame:
     """Per document its own counts, the links that are their A id's best, and the sum of the links' pair counts."""
-    pairs = postings.filter("a is not null").select("segment", "a", "b", "docs", "planes")
-    scored = pairs.join(counts, ["a", "b"]).select("segment", "docs", "planes", "count", "best")
+    pairs = postings.filter("a is not null").select("segment", "a", "b", "docs", "bits", "planes")
+    # merged at any size, as the pairs grow with the documents
+    scored = pairs.join(counts.hint("merge"), ["a", "b"]).select("segment", "docs", "bits", "planes", "count", "best")
     own = postings.filter("place is not null").select(
         "segment", "place", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"
     )
@@ -326,13 +352,10 @@ def alignment_scores(postings: DataFrame, counts: DataFrame) -> DataFrame:
         best_of = np.zeros(len(places), np.int64)
         sum_of = np.zeros(len(places), np.int64)
         for batch in postings.to_batches():
-            columns = [batch.column(name).to_pylist() for name in ("docs", "planes", "count", "best")]
-            for packed, planes, count, best in zip(*columns):
-                at = unpack_bitmap(packed)
-                links = unpack_planes(planes, len(at))
-                sum_of[at] += links * count
-                if best:
-                    best_of[at] += links
+            row, at, links = unpack_postings(*(batch[name] for name in ("docs", "bits", "planes")))
+            count, best = (batch[name].to_numpy(zero_copy_only=False) for name in ("count", "best"))
+            sum_of += np.bincount(at, links * count[row], minlength=len(places)).astype(np.int64)
+            best_of += np.bincount(at, links * best[row], minlength=len(places)).astype(np.int64)
         added = [pa.array(best_of[places], pa.int64()), pa.array(sum_of[places], pa.int64())]
         return pa.table([*(docs.column(c) for c in kept), *added], names=[*kept, "n_best", "count_sum"])
 

@@ -8,6 +8,7 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,13 +102,21 @@ def test_alignment_of_edge_rows(rows_of_all):
 
 def test_bitmaps_and_planes_round_trip():
     rng = np.random.default_rng(1)
-    for n in (1, 2, 7, 8, 9, 300, 4096):
-        places = np.sort(rng.choice(4096, n, replace=False))
-        packed = token_alignment.pack_bitmap(places)
-        assert (token_alignment.unpack_bitmap(packed) == places).all() and len(packed) <= 1 + 512
-        counts = rng.integers(1, 40, n)
-        assert (token_alignment.unpack_planes(token_alignment.pack_planes(counts), n) == counts).all()
-    assert token_alignment.pack_planes(np.ones(5, np.int64)) == b""
+    given, docs, bits, planes = [], [], [], []
+    for n in (1, 2, 7, 8, 9, 300, 4096, 1):
+        for most in (1, 2, 40):
+            places, counts = np.sort(rng.choice(4096, n, replace=False)), rng.integers(1, most + 1, n)
+            packed, is_bits = token_alignment.pack_bitmap(places)
+            assert len(packed) <= 512
+            docs.append(packed)
+            bits.append(is_bits)
+            planes.append(token_alignment.pack_planes(counts))
+            given += [(len(docs) - 1, p, c) for p, c in zip(places.tolist(), counts.tolist())]
+    assert set(bits) == {True, False} and b"" in planes
+    for skip in (0, 3):
+        columns = [pa.array(c).slice(skip) for c in (docs, bits, planes)]
+        found = zip(*(x.tolist() for x in token_alignment.unpack_postings(*columns)))
+        assert list(found) == [(r - skip, p, c) for r, p, c in given if r >= skip]
 
 
 # Merkle manifest
