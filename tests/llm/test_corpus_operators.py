@@ -111,6 +111,43 @@ def test_near_duplicates_edges(edge_docs, no_docs):
     assert near_dedup.near_duplicates(no_docs).count() == 0
 
 
+def test_rows_of_one_doc_id_are_one_document(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a), (1, b), (2, b + " more"), (3, a + " more"), (4, "c " + a), (None, a), (7, "d")]
+    for given in (rows, rows[::-1]):
+        out = near_dedup.near_duplicates(spark.createDataFrame(given, "doc_id long, text string"), 4).collect()
+        assert {(r.doc_id, r.component_id) for r in out} == {(1, 1), (2, 1), (3, 1), (4, 1), (None, None), (7, 7)}
+
+
+def test_links_of_a_group_grow_with_its_size(spark, monkeypatch):
+    """Near copies that differ pairwise: no step may return a number of links that grows with the square."""
+    made = {}
+
+    def counted(df, name, *more):
+        out = common_stage(df)
+        if name in ("near", "first-links", "star-links", "links"):
+            made.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "stage", counted)
+    monkeypatch.setattr(near_dedup, "BLOCK", 40)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    for n in (150, 300):
+        texts = []
+        for k in range(n):
+            own = list(base)
+            for at in rng.sample(range(120), 2):
+                own[at] = f"x{k}"
+            texts.append((k, " ".join(own)))
+        out = near_dedup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), 4).collect()
+        expected = brute_components(texts, 4)
+        assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in out} == expected
+    for name, (small, large) in made.items():
+        assert large <= 2.6 * small + 50, name
+    assert max(made["links"]) <= 3 * 300
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(3)
     a, b = (np.unique(setsketch.mix(rng.integers(0, 1 << 60, n).astype(np.uint64))) for n in (300, 500))
