@@ -45,11 +45,15 @@ def _key() -> Column:
     return F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("key")
 
 
+def _size(text: str) -> Column:
+    """Words of a text."""
+    spaced = F.trim(F.regexp_replace(text_or_empty(text), r"[\x20\x09-\x0D]+", " "))
+    return F.when(spaced == "", 0).otherwise(F.size(F.split(spaced, " "))).cast("long")
+
+
 def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, source, key, size (words of the text) of every row."""
-    spaced = F.trim(F.regexp_replace(text_or_empty(text), r"[\x20\x09-\x0D]+", " "))
-    words = F.when(spaced == "", 0).otherwise(F.size(F.split(spaced, " ")))
-    return docs.select("doc_id", "source", _key(), words.cast("long").alias("size"))
+    return docs.select("doc_id", "source", _key(), _size(text).alias("size"))
 
 
 def targets(totals: DataFrame) -> DataFrame:
@@ -237,6 +241,10 @@ def rounded(rated: DataFrame, goals: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken, copies."""
+    return _mixed(docs, text).drop("key")
+
+
+def _mixed(docs: DataFrame, text: str) -> DataFrame:
     sized = stage(sizes(docs, text), "sizes")
     totals = sized.groupBy("source", "key").agg(F.sum("size").alias("source_size"))
     goals = targets(totals)
@@ -249,6 +257,7 @@ def mix(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     return rounded(rated, goals).join(goals, "key").select(
         "doc_id",
+        "key",
         "size",
         "source_size",
         "target",
@@ -258,8 +267,16 @@ def mix(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def apply_mix(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with each row as often as the mix takes it; rows it does not take are gone."""
-    copies = mix(docs, text).groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("copies").alias("n"))
-    each = copies.filter("n > 0").select("mixed_id", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
-    taken = docs.join(each.select("mixed_id").hint("merge"), docs["doc_id"].eqNullSafe(each["mixed_id"]))
-    return taken.select(*(docs[f"`{c}`"] for c in docs.columns))
+    """``docs`` with each row as often as the mix takes it; rows it does not take are gone.
+
+    Rows alike in doc_id, source and size are rounded alike, so these three find a row's copies.
+    """
+    copies = _mixed(docs, text).filter("copies > 0").groupBy("doc_id", "key", "size").agg(F.max("copies").alias("n"))
+    # names that no column of the documents has
+    name = "mixed_row" + "_" * max(len(c) for c in docs.columns)
+    each = copies.select(
+        F.struct("doc_id", "key", "size").alias(f"{name}_"), F.explode(F.sequence(F.lit(1).cast("long"), "n"))
+    ).drop("col")
+    row = F.struct(F.col("doc_id"), _key(), _size(text).alias("size"))
+    taken = docs.withColumn(name, row).join(each.hint("merge"), F.col(name).eqNullSafe(F.col(f"{name}_")))
+    return taken.select(*(F.col(f"`{c}`") for c in docs.columns))

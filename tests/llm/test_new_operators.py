@@ -167,9 +167,9 @@ def brute_manifest(rows):
 
 def test_manifest_equals_brute_force(docs, rows_of_all, no_docs, monkeypatch):
     names = "doc_id leaf subroot root proof_sha256 folded_root verified".split()
-    for table in (docs, rows_of_all):
+    for table, depths in ((rows_of_all, (7, 1)), (docs, (2,))):
         expected = brute_manifest(table.collect())
-        for levels in (7, 2, 1):
+        for levels in depths:
             monkeypatch.setattr(merkle_manifest, "BLOCK_LEVELS", levels)
             monkeypatch.setattr(merkle_manifest, "BLOCK", 3**levels)
             out = merkle_manifest.tamper_report(table).collect()
