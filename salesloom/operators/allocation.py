@@ -7,7 +7,7 @@ the rows by one join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -226,17 +226,10 @@ def first_passing(decisions: DataFrame) -> DataFrame:
     return decisions.groupBy("sale_loc").agg(kept.alias("kept")).select("kept.*")
 
 
-def branch_decisions(
-    rows: DataFrame,
-    years: DataFrame,
-    levels: Sequence[AllocationLevel],
-    strict_bands: bool = True,
+def _tried(
+    rows: DataFrame, years: DataFrame, levels: Sequence[AllocationLevel], strict_bands: bool
 ) -> DataFrame:
-    """Level, stage and stretch factor of each branch, as a staged table.
-
-    Every level starts from the same forecast, so all are tried in one pass and the first that
-    passes is kept. Only levels below a branch's first early pass go on to the quantiles.
-    """
+    """Best of the given levels for each branch; only levels below its first early pass go on to the quantiles."""
     leveled = with_levels(rows, levels)
     first = stage(_first_decisions(leveled, strict_bands), "early-decisions")
     passing = F.min(F.expr("if(stage is not null, level, null)")).over(Window.partitionBy("sale_loc"))
@@ -250,6 +243,32 @@ def branch_decisions(
     return stage(first_passing(found), "branch-decisions")
 
 
+def with_retries(rows: DataFrame, first: DataFrame, retry: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``first`` decisions, replaced by those of ``retry`` for the branches that failed; only their rows are tried again."""
+    failed = first.filter("stage = 'failed'").select("sale_loc")
+    if failed.isEmpty():
+        return first
+    again = retry(rows.join(failed, "sale_loc", "left_semi"))
+    return first.filter("stage <> 'failed'").unionByName(again)
+
+
+def branch_decisions(
+    rows: DataFrame,
+    years: DataFrame,
+    levels: Sequence[AllocationLevel],
+    strict_bands: bool = True,
+) -> DataFrame:
+    """Level, stage and stretch factor of each branch.
+
+    Every level starts from the same forecast. The first is tried on all branches, the others, at once, on those it
+    leaves below their plan.
+    """
+    first = _tried(rows, years, levels[:1], strict_bands)
+    if len(levels) == 1:
+        return first
+    return with_retries(rows, first, lambda left: _tried(left, years, levels[1:], strict_bands))
+
+
 def _by_stage(values: dict[str, str]) -> str:
     cases = " ".join(f"when '{name}' then {value}" for name, value in values.items())
     return f"case stage {cases} end"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from salesloom.context import PlanContext, own_brand_steps
 from salesloom.functions import ratio
-from salesloom.operators.allocation import first_passing
+from salesloom.operators.allocation import first_passing, with_retries
 from salesloom.operators.stretch import stretched, total_of, with_plan
 from salesloom.operators.wallet import recode_branches
 from salesloom.session import stage
@@ -211,8 +211,8 @@ def own_brand_decisions(
 ) -> DataFrame:
     """One decision per branch: scale-down, border fill, or the first ratchet level that passes.
 
-    Scale-down and border fill do not depend on the level, so only the ratchet has levels, which
-    are tried in one pass.
+    Scale-down and border fill do not depend on the level, so only the ratchet has levels: the first
+    for all open branches, the others, at once, for those it leaves below their plan.
     """
     first = stage(_border_decisions(planned, border), "own-border")
     done = first.filter("stage <> 'open'").selectExpr(
@@ -221,9 +221,17 @@ def own_brand_decisions(
     open_branches = first.filter("stage = 'open'").select("sale_loc")
     if open_branches.isEmpty():
         return done
+
+    def tried(left: DataFrame, levels: Sequence[int]) -> DataFrame:
+        found = ratchet_decisions(left, border, steps, levels, keep_border_fill)
+        return stage(first_passing(found.select(*DECISION)), "own-ratchet")
+
     rows = planned.join(open_branches, "sale_loc", "left_semi")
-    tried = ratchet_decisions(rows, border, steps, range(len(steps)), keep_border_fill)
-    return done.unionByName(stage(first_passing(tried.select(*DECISION)), "own-ratchet"))
+    first_level = tried(rows, [0])
+    retries = range(1, len(steps))
+    if retries:
+        first_level = with_retries(rows, first_level, lambda left: tried(left, retries))
+    return done.unionByName(first_level)
 
 
 def allocate_own_brand(

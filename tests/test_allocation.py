@@ -3,7 +3,7 @@ import random
 import pytest
 
 from salesloom.context import AllocationLevel, PlanContext, entire_levels, own_brand_steps
-from salesloom.operators.allocation import allocate, branch_status, client_quantiles, client_year
+from salesloom.operators.allocation import allocate, branch_status, client_quantiles, client_year, with_retries
 from salesloom.operators.own_brand import allocate_own_brand, ratchet_fill
 from salesloom.operators.stretch import fill_big_clients, scale_down, stretch_stage
 from salesloom.session import stage
@@ -279,3 +279,19 @@ def test_ratchet_chain_of_moves(spark, step):
         found = {r["segment"]: r for r in ratchet_fill(prepared, spark.createDataFrame([("o", plan)], PLANS), 0.03, step).collect()}
         assert found[1]["stop_band"] == band
         assert [found[k]["target"] for k in (1, 2, 3)] == pytest.approx(want, rel=1e-12)
+
+
+def test_retries_see_only_branches_left_open(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("c", 4)], "sale_loc string, x int")
+    decided = "sale_loc string, level int, stage string"
+    first = spark.createDataFrame([("a", 0, "scale"), ("b", 0, "failed"), ("c", 0, "to_5")], decided)
+    seen = []
+
+    def retry(left):
+        seen.append(sorted(r["x"] for r in left.collect()))
+        return spark.createDataFrame([("b", 3, "bands")], decided)
+
+    out = {r["sale_loc"]: (r["level"], r["stage"]) for r in with_retries(rows, first, retry).collect()}
+    assert seen == [[2, 3]] and out == {"a": (0, "scale"), "b": (3, "bands"), "c": (0, "to_5")}
+    done = first.filter("stage <> 'failed'")
+    assert with_retries(rows, done, retry) is done and len(seen) == 1

@@ -65,6 +65,12 @@ def test_monthly_aggregate(spark):
     assert rows[2]["density"] is None
 
 
+def test_lines_are_shuffled_once(spark):
+    lines = spark.createDataFrame([line(1, date(2023, 9, 1), 10.0)], LINES)
+    plan = monthly_shipments(shipment_lines(lines, CTX))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_own_brand_lines_keep_listed_products_once(spark):
     lines = spark.createDataFrame([line(1, date(2023, 9, 1), 10.0, product=p) for p in (1, 2, 3)], LINES)
     products = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "medicine_code bigint, own_mark int")
