@@ -144,4 +144,3 @@ def running_category_mean(panel: DataFrame, category: str, name: str) -> DataFra
 def running_client_mean() -> Column:
     earlier = by_month().rowsBetween(Window.unboundedPreceding, -1)
     return F.avg(F.col("target").cast("double")).over(earlier)
-

@@ -45,5 +45,3 @@ def own_brand_plan(
         mix=model_mix(chosen),
         summary=score_summary(chosen),
     )
-
-
