@@ -8,6 +8,7 @@ postings, and each segment adds them up per document.
 
 from __future__ import annotations
 
+import gc
 import os
 from collections import ChainMap
 from collections.abc import Callable, Iterator
@@ -30,12 +31,12 @@ from .common import chunks
 #: Documents of a segment at most; their places in it fit in two bytes.
 SEGMENT_DOCS = 4096
 #: Code points of text after which a segment ends; one longer text is a segment alone.
-SEGMENT_CHARS = 1_000_000
+SEGMENT_CHARS = 500_000
 
 #: Code points below this have long had their letter and digit classes, so every library splits them alike.
 PLAIN_BELOW = "\u0250"
 #: Characters of a cached word at most, and characters after which the cache is emptied.
-CACHED_WORD, CACHE_CHARS = 32, 4_000_000
+CACHED_WORD, CACHE_CHARS = 32, 1_000_000
 
 
 class _ByteLevel:
@@ -265,6 +266,8 @@ def pair_postings(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         size_a = np.array([len(t) for t in bytes_a], np.int64)
         size_b = np.array([len(t) for t in bytes_b], np.int64)
         none = np.zeros(0, np.int64)
+        # lists of many small integers, none of them in a cycle, would be walked again and again
+        gc.disable()
         for number, (ids, texts) in enumerate(_segments(batches)):
             segment = (TaskContext.get().partitionId() << 32) + number
             spaced = [(" " + t).encode() for t in texts]
