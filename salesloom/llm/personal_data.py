@@ -1,13 +1,15 @@
 """Personal data: patterns propose spans, checksums confirm them, nearby words adjust the score.
 
 Built from SQL expressions only. A pattern's matches come from ``regexp_extract_all``, their places
-from the lengths of the pieces that ``split`` leaves between them. Patterns run only on texts that
+from running sums over the lengths of the pieces that ``split`` leaves between them. Patterns run only on texts that
 hold a character they need, and start only where a run of their characters starts, so a long run
 is walked once.
 
 Kinds in order: email, ip, card, phone (the base kinds, always reported when their rule holds), then
-iban (mod-97) and number (a bare telephone-like number), reported from a score of ``THRESHOLD``
-on and where no base span overlaps them.
+iban (mod-97), number (a bare telephone-like number), ssn (number groups that are given out), key (the
+forms of well-known access keys) and secret (a value with a letter and a digit given to a password, token or
+key), reported from a score of ``THRESHOLD`` on and where no base span overlaps them. Added spans of
+different kinds may overlap, as base spans may.
 
 Cases: null text counts as empty and has no spans; texts are searched whole; spans of different base
 kinds may overlap; equal rows give equal results; an empty table gives an empty result; columns other
@@ -25,8 +27,11 @@ from .common import text_or_empty
 
 #: Score from which spans of the added kinds are reported.
 THRESHOLD = 0.5
-#: Code points before and after a span in which context words count, and what they add.
+#: Code points before and after a match in which context words count (of the two pieces of text before it and
+#: the one after it that matches of its kind leave), and what they add.
 BEFORE, AFTER = 40, 20
+#: Matches whose running states are gathered together.
+BLOCK = 128
 WITH_CONTEXT, AGAINST_CONTEXT = 0.3, -0.3
 
 _LOCAL = "A-Za-z0-9._%+-"
@@ -106,6 +111,41 @@ KINDS = (
         "phone|tel|call|mobile|cell|fax|telefon|whatsapp|sms",
         base=False,
     ),
+    Kind(
+        "ssn",
+        "rlike(text, '[0-9]-[0-9][0-9]-[0-9]')",
+        # areas 000, 666 and 9xx, group 00 and serial 0000 are never given out
+        r"(?<![A-Za-z0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![A-Za-z0-9-])",
+        "true",
+        0.5,
+        "ssn|social|security|identity|taxpayer|born|applicant|employee",
+        base=False,
+    ),
+    Kind(
+        "key",
+        "rlike(text, 'A[KS]IA|gh[a-z]_|github_pat_|sk[_-]|rk_|xox|AIza|eyJ|PRIVATE KEY')",
+        r"(?<![A-Za-z0-9_])(?:A[KS]IA[0-9A-Z]{16}|gh[opusr]_[A-Za-z0-9]{30,}+|github_pat_[A-Za-z0-9_]{22,}+|"
+        r"[sr]k[_-](?:live|test|proj|ant)[_-][A-Za-z0-9_-]{10,}+|sk-[A-Za-z0-9]{20,}+|xox[abeprs]-[A-Za-z0-9-]{10,}+|"
+        r"AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}+[.]eyJ[A-Za-z0-9_-]{8,}+[.][A-Za-z0-9_-]{8,}+)|"
+        r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
+        "true",
+        0.8,
+        "key|token|secret|credential|credentials|aws",
+        against="example|placeholder|dummy",
+        base=False,
+    ),
+    Kind(
+        "secret",
+        "rlike(text, '(?i)passw|secret|token|api[_ -]?key|access[_ -]?key')",
+        r"(?i)(?<![a-z0-9])(?:passw(?:or)?d|secret|(?:auth|access|api)?[_-]?token|api[_ -]?key|"
+        r"(?:secret[_ -]?)?access[_ -]?key|client[_ -]?secret)[\"\x27]?\x20{0,3}(?:=|:|:=|\bis:)\x20{0,3}[\"\x27]?"
+        r"(?-i:(?=[A-Za-z_+/=.!@#%^&*-]{0,40}[0-9])(?=[^A-Za-z\s]{0,40}[A-Za-z]))[^\s\"\x27,;<>(){}]{8,200}+",
+        "true",
+        0.6,
+        "login|user|username|account|config|env|export|credential|credentials",
+        against="example|placeholder|dummy|changeme",
+        base=False,
+    ),
 )
 
 
@@ -124,34 +164,43 @@ def _matches(kind: Kind) -> tuple[Column, Column]:
     )
 
 
-def _places(kind: Kind) -> Column:
-    """Array of (start, end, value) from the matches and the pieces between them."""
+def _running(items: str, zero: str, step: str) -> str:
+    """State after each item of an array: ``step`` is SQL over the state ``l`` before and the item ``x``.
+
+    Appending copies an array, so states are gathered in blocks and the blocks put together.
+    """
+    blocks = f"transform(sequence(0, size({items}) - 1, {BLOCK}), i -> slice({items}, i + 1, {BLOCK}))"
+    states = f"""aggregate(b, array(element_at(element_at(a, -1), -1)),
+        (c, x) -> concat(c, transform(slice(c, -1, 1), l -> {step})))"""
+    return f"""flatten(aggregate({blocks}, array(array({zero})),
+        (a, b) -> concat(a, array(slice({states}, 2, size(b)))), a -> slice(a, 2, size(a))))"""
+
+
+def _places(kind: Kind) -> list[Column]:
+    """Lengths of the matches with the pieces before them, and the matches with the text near them."""
     v, g = f"{kind.name}_v", f"{kind.name}_g"
-    return F.expr(
-        f"""CASE WHEN size({v}) > 0 THEN aggregate(
-            zip_with(slice({g}, 1, size({v})), {v}, (g, v) -> named_struct('g', length(g), 'v', v)),
-            named_struct('at', 0, 'out', cast(array() AS array<struct<s:int,e:int,v:string>>)),
-            (a, x) -> named_struct(
-                'at', a.at + x.g + length(x.v),
-                'out', concat(a.out, array(named_struct(
-                    's', a.at + x.g, 'e', a.at + x.g + length(x.v), 'v', x.v)))),
-            a -> a.out) END"""
-    ).alias(f"{kind.name}_p")
+    lengths = f"zip_with(slice({g}, 1, size({v})), {v}, (g, v) -> length(g) + length(v))"
+    around = f"""transform(sequence(1, size({v})), i -> named_struct('v', element_at({v}, i),
+        'near', lower(concat(
+            right(concat_ws(' ', right(get({g}, i - 2), {BEFORE}), right(get({g}, i - 1), {BEFORE})), {BEFORE}),
+            ' ', left(get({g}, i), {AFTER})))))"""
+    return [
+        F.expr(f"CASE WHEN size({v}) > 0 THEN {lengths} END").alias(f"{kind.name}_l"),
+        F.expr(f"CASE WHEN size({v}) > 0 THEN {around} END").alias(f"{kind.name}_m"),
+    ]
 
 
 def _scored(kind: Kind, order: int) -> Column:
     """Valid matches as (start, order, end, kind, score), empty where there is none."""
-    near = (
-        f"lower(concat(substring(text, greatest(p.s - {BEFORE}, 0) + 1, least(p.s, {BEFORE})), ' ', "
-        f"substring(text, p.e + 1, {AFTER})))"
-    )
-    valid = kind.valid.replace("(v,", "(p.v,")
+    ends = _running(f"{kind.name}_l", "0", "l + x")
+    valid = kind.valid.replace("(v,", "(p.m.v,")
     return F.expr(
-        f"""coalesce(transform(filter({kind.name}_p, p -> {valid}), p -> named_struct(
-            's', p.s, 'o', {order}, 'e', p.e, 'kind', '{kind.name}',
+        f"""coalesce(CASE WHEN size({kind.name}_l) > 0 THEN transform(
+            filter(zip_with({ends}, {kind.name}_m, (e, m) -> named_struct('e', e, 'm', m)), p -> {valid}),
+            p -> named_struct('s', p.e - length(p.m.v), 'o', {order}, 'e', p.e, 'kind', '{kind.name}',
             'score', greatest(0.0D, least(1.0D, {kind.score}D
-                + if(rlike({near}, {_sql(rf"\b(?:{kind.words})\b")}), {WITH_CONTEXT}D, 0.0D)
-                + if(rlike({near}, {_sql(rf"\b(?:{kind.against})\b")}), {AGAINST_CONTEXT}D, 0.0D))))),
+                + if(rlike(p.m.near, {_sql(rf"\b(?:{kind.words})\b")}), {WITH_CONTEXT}D, 0.0D)
+                + if(rlike(p.m.near, {_sql(rf"\b(?:{kind.against})\b")}), {AGAINST_CONTEXT}D, 0.0D))))) END,
             cast(array() AS array<struct<s:int,o:int,e:int,kind:string,score:double>>))"""
     ).alias(f"{kind.name}_s")
 
@@ -159,22 +208,31 @@ def _scored(kind: Kind, order: int) -> Column:
 def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id and ``found``: spans (s, o, e, kind, score) by start, then kind in the listed order.
 
-    s and e count code points, e is exclusive, o is the kind's number.
+    s and e count code points, e is exclusive, o is the kind's number. The work grows with the text: an
+    added span is held against the furthest end of the base spans before it and the start of the next one.
     """
     read = docs.select("doc_id", text_or_empty(text).alias("text"))
-    matched = read.select("doc_id", "text", *(c for k in KINDS for c in _matches(k)))
-    placed = matched.select("doc_id", "text", *(_places(k) for k in KINDS))
+    matched = read.select("doc_id", *(c for k in KINDS for c in _matches(k)))
+    placed = matched.select("doc_id", *(c for k in KINDS for c in _places(k)))
     scored = placed.select("doc_id", *(_scored(k, i) for i, k in enumerate(KINDS)))
     base = ", ".join(f"{k.name}_s" for k in KINDS if k.base)
     more = ", ".join(f"{k.name}_s" for k in KINDS if not k.base)
-    both = scored.select(
-        "doc_id", F.expr(f"concat({base})").alias("base"), F.expr(f"concat({more})").alias("more")
+    every = scored.select(
+        "doc_id",
+        F.expr(f"array_sort(concat({base}, filter(concat({more}), m -> m.score >= {THRESHOLD}D)))").alias("every"),
     )
-    return both.select(
+    is_base = f"x.o < {sum(k.base for k in KINDS)}"
+    reached = _running("every", "0", f"if({is_base}, greatest(l, x.e), l)")
+    next_start = f"reverse({_running('reverse(every)', '2147483647', f'if({is_base}, x.s, l)')})"
+    return every.select(
         "doc_id",
         F.expr(
-            f"""array_sort(concat(base, filter(more, m -> m.score >= {THRESHOLD}D
-                AND NOT exists(base, b -> b.s < m.e AND m.s < b.e))))"""
+            f"""CASE WHEN exists(every, x -> NOT {is_base}) THEN
+                transform(filter(
+                    zip_with(zip_with(every, {reached}, (x, r) -> named_struct('x', x, 'r', r)), {next_start},
+                        (y, n) -> named_struct('x', y.x, 'r', y.r, 'n', n)),
+                    z -> z.{is_base} OR (z.r <= z.x.s AND z.n >= z.x.e)), z -> z.x)
+                ELSE every END"""
         ).alias("found"),
     )
 
@@ -194,6 +252,7 @@ def personal_data_report(docs: DataFrame, text: str = "text") -> DataFrame:
         "doc_id",
         *(F.expr(f"cast(size(filter(found, f -> f.o = {i})) AS long)").alias(f"n_{n}") for i, n in enumerate(names)),
         F.sha2(_joined(f"f.o < {len(names)}"), 256).alias("base_sha256"),
+        F.size("found").cast("long").alias("n_spans"),
         _joined("true").alias("spans"),
         F.expr("array_join(transform(found, f -> format_number(f.score, 2)), ',')").alias("scores"),
     )
