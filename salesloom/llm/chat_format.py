@@ -8,8 +8,9 @@ A sample holds ``SEGMENT`` turns; a longer dialogue goes on in further segments,
 a conversation of any length. Places within a conversation come from range partitions of the turns and
 counts per partition: a very long conversation is spread over many tasks.
 
-A turn becomes ``<|role|>name: text<|end|>`` and a newline; markers that occur inside a text are broken
-by a zero-width space after their first character, so that they cannot pose as markers.
+A turn becomes ``<|role|>name: text<|end|>`` and a newline; markers that occur inside a text or a
+speaker's name are broken by a zero-width space after their first character, so that they cannot pose as
+markers; ``participant`` keeps the name as it is.
 
 Cases: a null text counts as empty; a null speaker is the participant "unknown"; a null turn number
 sorts first; turns that share a number are ordered by speaker and text, repeated rows stay repeated
@@ -90,7 +91,7 @@ def perspectives(turns: DataFrame, speaker: str = "role") -> DataFrame:
                 'own', t.who = participant,
                 'head', CASE WHEN t.who = participant THEN '<|assistant|>'
                              WHEN t.who = '{SYSTEM}' THEN '<|system|>'
-                             ELSE concat('<|user|>', t.who, ': ') END,
+                             ELSE concat('<|user|>', replace(t.who, '<|', '<\u200b|'), ': ') END,
                 'text', t.text))"""
         ),
     )

@@ -245,7 +245,7 @@ ORACLES: dict[str, str] = {
         ), views AS (
             SELECT conv_id, participant, place // 512 AS segment, place, who = participant AS own, text,
                    CASE WHEN who = participant THEN '<|assistant|>' WHEN who = 'system' THEN '<|system|>'
-                        ELSE '<|user|>' || who || ': ' END AS head
+                        ELSE '<|user|>' || replace(who, '<|', '<' || chr(8203) || '|') || ': ' END AS head
             FROM placed JOIN participants ON conv_id IS NOT DISTINCT FROM of
         ), offsets AS (
             SELECT *, length(head) + coalesce(sum(length(head) + length(text) + 8) OVER (
