@@ -176,6 +176,26 @@ def test_components_of_a_long_chain(spark):
     assert set(out.values()) == {0, 900} and len(out) == n + 2
 
 
+def test_components_look_at_the_links_of_a_group_once(spark, monkeypatch):
+    """Each round joins what the rounds before left of the links, not all of them."""
+    made = []
+
+    def counted(df, name, *more):
+        out = common_stage(df)
+        if name.endswith("-edges"):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "stage", counted)
+    rng = random.Random(4)
+    group = [(i, j) for i in range(1, 400) for j in {rng.randrange(i) for _ in range(8)}]
+    loose = [(1000 + 3 * k, 1001 + 3 * k) for k in range(20)] + [(1002 + 3 * k, 1001 + 3 * k) for k in range(20)]
+    links = group + [(b, a) for a, b in group[:50]] + loose + [(7, 7), (None, 3), (2000, 2000)]
+    out = {r.id: r.component for r in near_dedup.components(spark.createDataFrame(links, "a long, b long"), "group").collect()}
+    assert out == {i: 0 for i in range(400)} | {1000 + k: 1000 + k - k % 3 for k in range(60)}
+    assert len(made) > 1 and sum(made) <= 1.3 * made[0] <= 1.3 * (len(group) + len(loose))
+
+
 # quality rules
 
 
