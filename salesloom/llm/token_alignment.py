@@ -10,11 +10,10 @@ from __future__ import annotations
 
 import gc
 import os
-from collections import ChainMap
 from collections.abc import Callable, Iterator
 from functools import cache
 from hashlib import sha256
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -39,6 +38,62 @@ PLAIN_BELOW = "\u0250"
 CACHED_WORD, CACHE_CHARS = 32, 1_000_000
 
 
+class _Words:
+    """Ids of words by an encoder of word lists, keeping those of short words.
+
+    The ids of all words lie in a row; a word is known by its place in the order of learning.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]]) -> None:
+        self._encode = encode
+        self._clear()
+
+    def _clear(self) -> None:
+        self._places: dict[str, int] = {}
+        self._ids, self._ends, self._held = np.zeros(0, np.int32), np.zeros(0, np.int64), 0
+
+    def __call__(self, words: list[list[str]]) -> list[np.ndarray]:
+        """The ids of each list of words."""
+        if self._held > CACHE_CHARS:
+            self._clear()
+        new = list(filterfalse(self._places.__contains__, set().union(*words)))
+        # long words come last, so that they can be forgotten
+        long = [w for w in new if len(w) > CACHED_WORD]
+        if long:
+            new = [w for w in new if len(w) <= CACHED_WORD] + long
+        self._places.update(zip(new, range(len(self._ends), len(self._ends) + len(new))))
+        encoded = self._encode(new)
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        added = np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes.sum()))
+        ids, ends = np.concatenate([self._ids, added]), np.concatenate([self._ends, len(self._ids) + np.cumsum(sizes)])
+        starts = np.concatenate([[0], ends])
+        found = []
+        for parts in words:
+            place = np.fromiter(map(self._places.__getitem__, parts), np.int64, len(parts))
+            size = ends[place] - starts[place]
+            at = np.repeat(starts[place] - _starts(size), size)
+            found.append(ids[at + np.arange(len(at))].astype(np.int64))
+        for word in long:
+            del self._places[word]
+        kept = len(ends) - len(long)
+        self._ends, self._ids = ends[:kept].copy(), ids[: int(starts[kept])].copy()
+        self._held += sum(map(len, new)) - sum(map(len, long))
+        return found
+
+
+def _plain(text: str) -> bool:
+    return text.isascii() or max(text) < PLAIN_BELOW
+
+
+def _encoded_parts(
+    texts: list[str], words: list[list[str] | None], encode: Callable[[list[str]], list[list[int]]], of_words: _Words
+) -> list[np.ndarray]:
+    """Ids of each text, from its words where they are given, else by ``encode``."""
+    whole = iter(encode([t for t, w in zip(texts, words) if w is None]))
+    parted = iter(of_words([w for w in words if w is not None]))
+    return [np.array(next(whole), np.int64) if w is None else next(parted) for w in words]
+
+
 class _ByteLevel:
     """Encoder of a byte-level vocabulary file, with a cache of words for texts of plain letters."""
 
@@ -49,8 +104,7 @@ class _ByteLevel:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._split = regex.compile(public_tokenizers.PATTERN).findall
-        self._cache: dict[str, list[int]] = {}
-        self._held = 0
+        self._of_words = _Words(self._encoded)
         # printable bytes stand for themselves, the others for code points from 256 on
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in printable]
@@ -62,47 +116,58 @@ class _ByteLevel:
     def _encoded(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        words = [self._split(t) if t.isascii() or max(t) < PLAIN_BELOW else None for t in texts]
-        whole = iter(self._encoded([t for t, w in zip(texts, words) if w is None]))
-        new = list({w for found in words if found for w in found} - self._cache.keys())
-        if self._held > CACHE_CHARS:
-            self._cache, self._held = {}, 0
-            new = list({w for found in words if found for w in found})
-        fresh = dict(zip(new, self._encoded(new)))
-        short = {w: ids for w, ids in fresh.items() if len(w) <= CACHED_WORD}
-        self._cache |= short
-        self._held += sum(map(len, short))
-        look = ChainMap(fresh, self._cache) if len(short) < len(fresh) else self._cache
-        return [next(whole) if w is None else list(chain.from_iterable(map(look.__getitem__, w))) for w in words]
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        words = [self._split(t) if _plain(t) else None for t in texts]
+        return _encoded_parts(texts, words, self._encoded, self._of_words)
+
+
+class _Pieces:
+    """Encoder of a piece vocabulary with byte fallback, with a cache of words for texts of plain letters.
+
+    Where no piece goes on with a space after another character, none reaches over the start of a word. So a
+    text with single spaces only inside is the words between them, each with the space that the encoder adds.
+    """
+
+    def __init__(self, path: str) -> None:
+        import sentencepiece
+
+        self._model = model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+        apart = model.encode("a b") == model.encode("a") + model.encode("b")
+        self._by_word = apart and not any("▁" in piece.lstrip("▁") for piece in pieces)
+        self._of_words = _Words(self._encoded)
+        self.known = np.array(
+            [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)], object
+        )
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return self._model.encode(texts, num_threads=1)
+
+    def _falls_apart(self, text: str) -> bool:
+        return self._by_word and "  " not in text and text.strip(" ") == text != "" and _plain(text)
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        words = [t.split(" ") if self._falls_apart(t) else None for t in texts]
+        return _encoded_parts(texts, words, self._encoded, self._of_words)
 
 
 @cache
-def _byte_level(path: str) -> tuple[Callable[[list[str]], list[list[int]]], np.ndarray]:
+def _byte_level(path: str) -> tuple[Callable[[list[str]], list[np.ndarray]], np.ndarray]:
     """Encoder of a byte-level vocabulary and the bytes of each id."""
     encoder = _ByteLevel(path)
     return lambda texts: encoder([" " + t for t in texts]), encoder.known
 
 
 @cache
-def _pieces(path: str) -> tuple[Callable[[list[str]], list[list[int]]], np.ndarray]:
+def _pieces(path: str) -> tuple[Callable[[list[str]], list[np.ndarray]], np.ndarray]:
     """Encoder of a piece vocabulary with byte fallback and the bytes of each id."""
-    import sentencepiece
+    encoder = _Pieces(path)
+    return encoder, encoder.known
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
 
-    def bytes_of(i: int) -> bytes:
-        piece = model.id_to_piece(i)
-        return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()
-
-    known = np.array([bytes_of(i) for i in range(model.get_piece_size())], object)
-    return lambda texts: model.encode(texts, num_threads=1), known
-
-
-def _tokens(ids: list[list[int]], known: np.ndarray, texts: list[bytes]) -> tuple[list[np.ndarray], list[bool]]:
-    """Ids as arrays, and whether their bytes give the texts back."""
-    arrays = [np.array(i, np.int64) for i in ids]
-    return arrays, [b"".join(known[a].tolist()) == t for a, t in zip(arrays, texts)]
+def _same_bytes(ids: list[np.ndarray], known: np.ndarray, texts: list[bytes]) -> list[bool]:
+    """Whether the bytes of the ids give the texts back."""
+    return [b"".join(known[a].tolist()) == t for a, t in zip(ids, texts)]
 
 
 class Alignment:
@@ -150,7 +215,8 @@ class Alignment:
         """Pair key (A id above, B id below 32 bits), document place and multiplicity, sorted by key, then place."""
         doc = np.repeat(np.arange(len(self.n_a)), self.n_a)[self.link_a]
         pair = (self.ids_a[self.link_a] << 32) | self.ids_b[self.link_b]
-        order = np.lexsort((doc, pair))
+        # links lie by document, an order that a stable sort keeps
+        order = np.argsort(pair, kind="stable")
         pair, doc = pair[order], doc[order]
         if not len(pair):
             return pair, doc, doc
@@ -189,6 +255,42 @@ def pack_planes(counts: np.ndarray) -> bytes:
     return b"".join(planes)
 
 
+def _slices(data: bytes, lengths: np.ndarray) -> list[bytes]:
+    ends = np.cumsum(lengths)
+    return [data[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist())]
+
+
+def pack_postings(
+    docs: np.ndarray, counts: np.ndarray, starts: np.ndarray
+) -> tuple[list[bytes], np.ndarray, list[bytes]]:
+    """:func:`pack_bitmap` and :func:`pack_planes` of every run of postings that begins at ``starts``."""
+    sizes = np.diff(np.append(starts, len(docs)))
+    run = np.repeat(np.arange(len(starts)), sizes)
+    spans = docs[starts + sizes - 1] // 8 + 1
+    is_bits = 2 * sizes > spans
+    lengths = np.where(is_bits, spans, 2 * sizes)
+    at = _starts(lengths)
+    packed = np.zeros(int(lengths.sum()), np.uint8)
+    of_bits = is_bits[run]
+    bits = np.zeros(8 * len(packed), np.uint8)
+    bits[(8 * at[run] + docs)[of_bits]] = 1
+    packed = np.packbits(bits, bitorder="little")
+    rank = np.arange(len(docs)) - starts[run]
+    low = (at[run] + 2 * rank)[~of_bits]
+    packed[low], packed[low + 1] = docs[~of_bits] & 0xFF, docs[~of_bits] >> 8
+    # planes are as many as the greatest count less one has bits
+    levels = np.frexp(np.maximum.reduceat(counts, starts) - 1)[1]
+    width = (sizes + 7) // 8
+    plane_lengths = levels * width
+    plane_at = _starts(plane_lengths)
+    bits = np.zeros(8 * int(plane_lengths.sum()), np.uint8)
+    for level in range(int(levels.max(initial=0))):
+        one = np.flatnonzero((counts - 1) >> level & 1)
+        bits[8 * (plane_at + level * width)[run[one]] + rank[one]] = 1
+    planes = np.packbits(bits, bitorder="little")
+    return _slices(packed.tobytes(), lengths), is_bits, _slices(planes.tobytes(), plane_lengths)
+
+
 def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a binary column side by side, and the length of each row."""
     ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
@@ -271,9 +373,9 @@ def pair_postings(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         for number, (ids, texts) in enumerate(_segments(batches)):
             segment = (TaskContext.get().partitionId() << 32) + number
             spaced = [(" " + t).encode() for t in texts]
-            a, same_a = _tokens(encode_a(texts), bytes_a, spaced)
-            b, same_b = _tokens(encode_b(texts), bytes_b, spaced)
-            valid = [bool(t) and x and y for t, x, y in zip(texts, same_a, same_b)]
+            a, b = encode_a(texts), encode_b(texts)
+            same = zip(_same_bytes(a, bytes_a, spaced), _same_bytes(b, bytes_b, spaced))
+            valid = [bool(t) and x and y for t, (x, y) in zip(texts, same)]
             found = Alignment(
                 [x if ok else none for x, ok in zip(a, valid)], [x if ok else none for x, ok in zip(b, valid)], size_a, size_b
             )
@@ -295,20 +397,17 @@ def pair_postings(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             if not len(pair):
                 continue
             starts = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
-            ends = np.append(starts[1:], len(pair))
-            several = np.maximum.reduceat(count, starts) > 1
-            spans = list(zip(starts.tolist(), ends.tolist(), several.tolist()))
-            bitmaps = [pack_bitmap(doc[s:e]) for s, e, _ in spans]
+            packed, is_bits, planes = pack_postings(doc, count, starts)
             yield _rows(
                 ids.type,
                 len(starts),
                 segment=np.full(len(starts), segment),
                 a=pair[starts] >> 32,
                 b=pair[starts] & 0xFFFFFFFF,
-                n_docs=ends - starts,
-                docs=[packed for packed, _ in bitmaps],
-                bits=[is_bits for _, is_bits in bitmaps],
-                planes=[pack_planes(count[s:e]) if more else b"" for s, e, more in spans],
+                n_docs=np.diff(np.append(starts, len(pair))),
+                docs=packed,
+                bits=is_bits,
+                planes=planes,
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()

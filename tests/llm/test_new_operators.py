@@ -119,6 +119,40 @@ def test_bitmaps_and_planes_round_trip():
         assert list(found) == [(r - skip, p, c) for r, p, c in given if r >= skip]
 
 
+def test_postings_are_packed_as_pair_by_pair():
+    rng = np.random.default_rng(2)
+    runs = [np.sort(rng.choice(4096, n, replace=False)) for n in (1, 2, 7, 8, 9, 300, 4096, 1, 600)]
+    docs = np.concatenate(runs)
+    starts = np.cumsum([0] + [len(r) for r in runs[:-1]])
+    for most in (1, 2, 40):
+        counts = rng.integers(1, most + 1, len(docs))
+        packed, bits, planes = token_alignment.pack_postings(docs, counts, starts)
+        assert list(zip(packed, bits.tolist())) == [token_alignment.pack_bitmap(r) for r in runs]
+        assert planes == [token_alignment.pack_planes(counts[s : s + len(r)]) for s, r in zip(starts, runs)]
+
+
+def test_repeated_words_are_encoded_once_by_both_vocabularies(monkeypatch):
+    import sentencepiece
+
+    texts = ["one two two one", "one, two\nthree </s> \x00 one", "caf\u00e9 one", "x" * 50 + " two", "a  b", " a", "a ", "", " ", "two \ufb01 \u0301x"]
+    encode = token_alignment._Pieces(PATHS[1])
+    model = sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
+    level = token_alignment._ByteLevel(PATHS[0])
+    for limit in (1_000_000, 5):
+        monkeypatch.setattr(token_alignment, "CACHE_CHARS", limit)
+        for some in (texts, texts[::-1], texts[:1]):
+            assert [ids.tolist() for ids in encode(some)] == model.encode(some)
+            assert [ids.tolist() for ids in level(some)] == level._encoded(some)
+    monkeypatch.setattr(token_alignment, "CACHE_CHARS", 1_000_000)
+    encode, asked = token_alignment._Pieces(PATHS[1]), []
+    inner = encode._of_words._encode
+    encode._of_words._encode = lambda words: asked.extend(words) or inner(words)
+    encode(texts[:4])
+    encode(texts[:4])
+    # too long a word is not kept
+    assert asked.count("one") == asked.count("two") == 1 and asked.count("x" * 50) == 2
+
+
 # Merkle manifest
 
 
