@@ -5,6 +5,7 @@ from salesloom.functions.columns import (
     month_start,
     non_negative,
     ratio,
+    rounded,
     season_number,
     whole,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "non_negative",
     "padded_sorted",
     "ratio",
+    "rounded",
     "season_number",
     "whole",
 ]

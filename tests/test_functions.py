@@ -64,3 +64,14 @@ def test_exact_quantiles_by_brackets(spark, kind):
     found = exact_quantiles(df, "x", probabilities)
     direct = df.agg(F.percentile("x", F.array(*map(F.lit, probabilities)))).first()[0]
     assert found == pytest.approx(direct, rel=1e-12)
+
+
+def test_rounded_equals_round(spark):
+    rng = random.Random(6)
+    values = [k / 20_000 for k in range(-400, 400)] + [1.00005, 2.00015, 1234.56785, 0.00005, 1e-300, 1e11, 123456789012345.67891]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-6, 16) for _ in range(3000)] + [round(rng.uniform(0, 1e6), 5) for _ in range(2000)]
+    values += [float("nan"), float("inf"), float("-inf"), None, 0.0, -0.0]
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    for digits in (0, 2, 4):
+        differ = rows.filter(~fn.rounded(F.col("x"), digits).eqNullSafe(F.round("x", digits)))
+        assert differ.collect() == []
