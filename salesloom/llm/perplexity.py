@@ -38,6 +38,8 @@ ORDER = 5
 BITS = 12
 #: Entries of one broadcast shard: 8 bytes of hash and 4 of log probability each, 48 MB.
 SHARD_GRAMS = 4_000_000
+#: Bytes of text scored at a time; hashes, places and values of its n-grams take some forty times as much.
+SCORED_CHARS = 250_000
 #: Distinct n-grams a counting task holds before it passes them on.
 HELD_GRAMS = 2_000_000
 
@@ -346,6 +348,20 @@ def _log_sums(langs: pa.Array, texts: list[str], arrays: HashArrays) -> tuple[np
     return total, found
 
 
+def scored_batches(batches: Iterator[pa.RecordBatch], arrays: HashArrays, first: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of (doc_id, lang, text, text_key) with their sums over a shard, on the first one also the word statistics."""
+    for batch in batches:
+        for part, texts in chunks(batch, 2, SCORED_CHARS):
+            total, found = _log_sums(part.column(1), texts, arrays)
+            columns = [part.column(0), part.column(1), part.column(3), pa.array(total), pa.array(found)]
+            names = [*ROW, "log_sum", "found"]
+            if first:
+                stats = np.array([word_statistics(t) for t in texts], dtype=np.int64)
+                columns += [pa.array(stats[:, i]) for i in range(len(BASE))]
+                names += BASE
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def score_documents(docs: DataFrame, model: DataFrame) -> DataFrame:
     """doc_id, lang, text_key, the word statistics, ``found`` (characters scored) and ``log_ppl`` of every row.
 
@@ -367,16 +383,7 @@ def score_documents(docs: DataFrame, model: DataFrame) -> DataFrame:
         first = shard == 0
 
         def run(batches, arrays=arrays, first=first) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part, texts in chunks(batch, 2):
-                    total, found = _log_sums(part.column(1), texts, arrays.value)
-                    columns = [part.column(0), part.column(1), part.column(3), pa.array(total), pa.array(found)]
-                    names = [*ROW, "log_sum", "found"]
-                    if first:
-                        stats = np.array([word_statistics(t) for t in texts], dtype=np.int64)
-                        columns += [pa.array(stats[:, i]) for i in range(len(BASE))]
-                        names += BASE
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
+            return scored_batches(batches, arrays.value, first)
 
         out = f"doc_id {kind}, lang string, text_key binary, log_sum double, found bigint"
         out += "".join(f", {n} bigint" for n in BASE) * first

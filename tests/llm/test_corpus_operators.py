@@ -3,9 +3,11 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -199,6 +201,22 @@ def test_components_look_at_the_links_of_a_group_once(spark, monkeypatch):
 # quality rules
 
 
+def test_scoring_holds_little_beside_the_texts():
+    rng = np.random.default_rng(1)
+    texts = ["".join(chr(97 + c) for c in rng.integers(0, 26, 20_000)) for _ in range(90)]
+    keys = np.unique(perplexity._hash(perplexity.grams(texts[:3])[0], "en"))
+    arrays = perplexity.HashArrays(keys, np.full(len(keys), -1.0, np.float32))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(90)), "lang": ["en"] * 90, "text": texts, "text_key": [b""] * 90})
+    whole = perplexity._log_sums(batch.column(1), texts, arrays)
+    tracemalloc.start()
+    out = pa.Table.from_batches(perplexity.scored_batches(iter([batch]), arrays, False))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out["log_sum"].to_pylist() == whole[0].tolist() and out["found"].to_pylist() == whole[1].tolist()
+    assert peak < 30e6, peak
+
+
+
 def brute_kneser_ney(texts, order):
     """Probabilities of all n-grams of the highest order, straight from the definition."""
     pad = "\0" * (order - 1)
