@@ -18,6 +18,8 @@ grid, so reruns agree.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ TOLERANCE = 1e-9
 MOST_STEPS = 200
 #: Bits of the rounding hash, and bits by which one pass narrows a source's shift down.
 HASH_BITS, PASS_BITS = 36, 12
+#: Documents of a source whose places are ordered as they are, in one task; more are narrowed down first.
+DIRECT_ROWS = 1 << 16
 #: Rounds of the rounding: each takes documents of at most this share of the words that are left, so
 #: that short ones fill closely what longer ones leave open.
 ROUNDS = (1.0, 0.25, 0.25, 1.0)
@@ -151,49 +155,52 @@ def balance(counted: DataFrame, goals: DataFrame) -> DataFrame:
     return state.select("key", "unit", "multiplier")
 
 
-def _first_fitting(eligible: DataFrame, left: DataFrame) -> DataFrame:
-    """key, shift: documents below the shift of their source have at most ``left`` words together.
+def _first_fitting(eligible: Callable[[DataFrame], DataFrame], sources: DataFrame, most: int) -> DataFrame:
+    """``sources`` with shift and words: documents below the shift have ``words`` together, at most ``left``; staged.
 
-    Each pass counts the words per part of every source's open interval of places and goes on in the
-    part where the words run out.
+    ``eligible`` gives the documents (size, place) with the columns of their source. Each pass counts the words per
+    part of every source's open interval of places and goes on in the part where the words run out. Once no
+    source has more than ``DIRECT_ROWS`` documents in its interval (``most`` at the start), the parts are the single places.
     """
     one = 1 << HASH_BITS
-    state = left.select("key", "left", F.lit(-one).cast("long").alias("start"), F.lit(0).cast("long").alias("below"))
+    state = sources.select("*", F.lit(-one).cast("long").alias("shift"), F.lit(0).cast("long").alias("words"))
     width = 2 * one
     while width > 1:
-        parts = min(width, 1 << PASS_BITS)
+        parts = width if most <= DIRECT_ROWS else min(width, 1 << PASS_BITS)
         width //= parts
-        part = F.floor((F.col("place") - F.col("start")) / width).cast("long")
+        part = F.floor((F.col("place") - F.col("shift")) / width).cast("long")
         counted = (
-            eligible.join(state.select("key", "start"), "key")
+            eligible(state)
             .withColumn("part", part)
             .filter(F.col("part").between(0, parts - 1))
             .groupBy("key", "part")
-            .agg(F.sum("size").alias("words"))
+            .agg(F.sum("size").alias("sizes"), F.count("*").alias("docs"), F.first(F.col("left") - F.col("words")).alias("left"))
         )
-        upto = F.sum("words").over(Window.partitionBy("key").orderBy("part"))
+        upto = F.sum("sizes").over(Window.partitionBy("key").orderBy("part"))
+        # without a part in which the words run out, all of the interval fits
+        last = parts if width == 1 else parts - 1
+        over = F.col("upto") > F.col("left")
         passed = (
             counted.withColumn("upto", upto)
-            .join(state, "key")
             .groupBy("key")
             .agg(
-                F.min(F.when(F.col("below") + F.col("upto") > F.col("left"), F.col("part"))).alias("part"),
-                F.max(F.when(F.col("below") + F.col("upto") <= F.col("left"), F.col("upto"))).alias("upto"),
+                F.min(F.when(over, F.col("part"))).alias("part"),
+                F.max(F.when(~over & (F.col("part") < last), F.col("upto"))).alias("upto"),
+                F.max("docs").alias("most"),
             )
         )
-        # without a part in which the words run out, all of the interval fits
-        go = F.coalesce("part", F.lit(parts if width == 1 else parts - 1))
-        words = F.when(F.col("part").isNotNull() | F.lit(width == 1), F.coalesce("upto", F.lit(0))).otherwise(0)
-        state = stage(
+        shift = F.col("shift") + F.coalesce("part", F.lit(last)) * width
+        words = (F.col("words") + F.coalesce("upto", F.lit(0))).cast("long")
+        found = stage(
             state.join(passed, "key", "left").select(
-                "key",
-                "left",
-                (F.col("start") + go * width).alias("start"),
-                (F.col("below") + words).cast("long").alias("below"),
+                *(F.col(c) for c in sources.columns), shift.alias("shift"), words.alias("words"), "most"
             ),
             "shifts",
         )
-    return state.select("key", F.col("start").alias("shift"))
+        state = found.drop("most")
+        if width > 1:
+            most = found.agg(F.max("most")).first()[0] or 0
+    return state
 
 
 def rounded(rated: DataFrame, goals: DataFrame) -> DataFrame:
@@ -201,7 +208,8 @@ def rounded(rated: DataFrame, goals: DataFrame) -> DataFrame:
 
     A document's place is its hash less the fraction of its rate; those first in place get one more
     copy while words are left for their source. Where the next document is too long for what is left,
-    further rounds go on with the shorter ones.
+    further rounds go on with the shorter ones. A round leaves two numbers per source, from which the
+    copies follow, so the documents are written once.
     """
     one = 1 << HASH_BITS
     whole = F.floor("rate").cast("long")
@@ -216,27 +224,38 @@ def rounded(rated: DataFrame, goals: DataFrame) -> DataFrame:
         ),
         "placed",
     )
-    for share in ROUNDS:
-        taken = placed.groupBy("key").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"))
-        left = stage(
-            goals.join(taken, "key").select("key", (F.col("target") - F.col("taken")).alias("left")),
-            "left",
-        )
-        fits = (F.col("copies") < CAP) & F.col("size").between(1, share * F.col("left"))
-        eligible = placed.join(left, "key").filter(fits).select("key", "size", "place")
-        shifts = _first_fitting(eligible, left).join(left, "key")
-        more = fits & (F.col("place") < F.col("shift"))
-        placed = stage(
-            placed.join(shifts, "key", "left").select(
-                "doc_id",
-                "key",
-                "size",
-                (F.col("copies") + F.coalesce(more, F.lit(False)).cast("long")).alias("copies"),
-                "place",
-            ),
-            "placed",
+    open_docs = F.count(F.when((F.col("copies") < CAP) & (F.col("size") > 0), 1))
+    taken = placed.groupBy("key").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), open_docs.alias("docs"))
+    sources = stage(goals.join(taken, "key").select("key", "target", "taken", "docs"), "left")
+    most = sources.agg(F.max("docs")).first()[0] or 0
+    sources = sources.drop("docs")
+    for number, share in enumerate(ROUNDS):
+        given = sources.withColumn("left", F.col("target") - F.col("taken"))
+
+        def eligible(state: DataFrame, number=number, share=share) -> DataFrame:
+            return _given(placed, state, number).filter(_fits(share, "left"))
+
+        # what a round leaves and where it ends, by the number of the round
+        sources = _first_fitting(eligible, given, most).select(
+            *(c for c in sources.columns if c != "taken"),
+            (F.col("taken") + F.col("words")).alias("taken"),
+            F.col("left").alias(f"left{number}"),
+            F.col("shift").alias(f"shift{number}"),
         )
-    return placed
+    return _given(placed, sources, len(ROUNDS)).select("doc_id", "key", "size", "copies", "place")
+
+
+def _fits(share: float, left: str) -> Column:
+    return (F.col("copies") < CAP) & F.col("size").between(1, share * F.col(left))
+
+
+def _given(placed: DataFrame, sources: DataFrame, rounds: int) -> DataFrame:
+    """``placed`` with the copies that its documents have after some rounds, and the columns of their source."""
+    found = placed.join(sources, "key")
+    for number, share in enumerate(ROUNDS[:rounds]):
+        more = _fits(share, f"left{number}") & (F.col("place") < F.col(f"shift{number}"))
+        found = found.withColumn("copies", F.col("copies") + more.cast("long"))
+    return found
 
 
 def mix(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -263,17 +263,26 @@ def hashed_model(model: DataFrame) -> DataFrame:
     return model.select("lang", "gram", "log_p").mapInArrow(run, "hash bigint, log_p float")
 
 
+#: Places looked up at a time when arrays are made, as the driver has little memory to spare.
+HEADS = 1 << 16
+
+
 class HashArrays:
     """Sorted hashes with their values; the upper bits of a hash lead to its place."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
-        self.shift = np.uint64(64 - max(1, len(keys).bit_length()))
-        heads = np.arange(1 << max(1, len(keys).bit_length()), dtype=np.uint64) << self.shift
-        self.start = np.searchsorted(self.keys, heads).astype(np.int32)
-        self.keys = np.append(self.keys, np.uint64(0xFFFFFFFFFFFFFFFF))
-        self.values = np.append(self.values, np.float32(0))
+        # behind the last one a key that is above all others
+        self.keys, self.values = np.full(len(keys) + 1, 0xFFFFFFFFFFFFFFFF, np.uint64), np.zeros(len(keys) + 1, np.float32)
+        np.take(keys, order, out=self.keys[:-1])
+        np.take(values, order, out=self.values[:-1])
+        del order
+        bits = max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.start = np.empty(1 << bits, np.int32)
+        for at in range(0, len(self.start), HEADS):
+            heads = np.arange(at, min(at + HEADS, len(self.start)), dtype=np.uint64) << self.shift
+            self.start[at : at + HEADS] = np.searchsorted(self.keys[:-1], heads)
 
     def sums(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The value of each hash (0 where absent) and whether it was found."""

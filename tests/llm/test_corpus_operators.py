@@ -398,6 +398,55 @@ def test_applied_mix_takes_what_the_mix_takes(spark, edge_docs):
         assert +out == +wanted and mixing.apply_mix(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("direct", [mixing.DIRECT_ROWS, -1])
+def test_rounding_writes_documents_once_and_passes_no_target(spark, monkeypatch, direct):
+    rng = random.Random(5)
+    rows = [(i // 2, "ABC"[i % 3], rng.randint(0, 40), rng.choice((0.0, 0.25, 0.5, 1.25, 1.5, 2.0))) for i in range(600)]
+    rows += [(9000 + i, "D", 3, 2.0) for i in range(5)]
+    rated = spark.createDataFrame(rows, "doc_id long, key string, size long, rate double")
+    wanted = {"A": 2100.0, "B": 0.5, "C": 1e9, "D": 30.0}
+    goals = spark.createDataFrame([(k, 1, t) for k, t in wanted.items()], "key string, source_size long, target double")
+    staged = Counter()
+    written = mixing.stage
+
+    def counted(table, name, *more, **named):
+        staged[name] += 1
+        return written(table, name, *more, **named)
+
+    monkeypatch.setattr(mixing, "stage", counted)
+    monkeypatch.setattr(mixing, "DIRECT_ROWS", direct)
+    out = mixing.rounded(rated, goals).collect()
+    assert staged["placed"] == 1 and staged["left"] == 1
+    assert staged["shifts"] == len(mixing.ROUNDS) * (1 if direct > 0 else 4)
+    # by hand, a round after the other
+    one, copies = 1 << mixing.HASH_BITS, [int(r[3]) for r in rows]
+    ids = spark.createDataFrame([(r[0],) for r in rows], "doc_id long").distinct()
+    hashes = dict(ids.select("doc_id", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - mixing.HASH_BITS)).collect())
+    places = [hashes[d] - round((rate - int(rate)) * one) for d, _, _, rate in rows]
+    for share in mixing.ROUNDS:
+        for key, target in wanted.items():
+            left = target - sum(c * r[2] for c, r in zip(copies, rows) if r[1] == key)
+            fits = [i for i, r in enumerate(rows) if r[1] == key and copies[i] < 2 and 1 <= r[2] <= share * left]
+            for place in sorted({places[i] for i in fits}):
+                same = [i for i in fits if places[i] == place]
+                left -= sum(rows[i][2] for i in same)
+                if left < 0:
+                    break
+                for i in same:
+                    copies[i] += 1
+    assert Counter((r.doc_id, r.key, r["size"], r.copies) for r in out) == Counter((*r[:3], c) for r, c in zip(rows, copies))
+
+
+def test_hash_arrays_hold_every_key():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5, 70_000):
+        keys = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+        arrays = perplexity.HashArrays(keys[::-1], np.arange(len(keys), 0, -1).astype(np.float32))
+        value, found = arrays.sums(np.concatenate([keys, keys + np.uint64(1)]))
+        assert found.tolist() == [True] * len(keys) + [False] * len(keys)
+        assert value.tolist() == [*range(1, len(keys) + 1), *[0] * len(keys)]
+
+
 def test_rates_meet_targets_by_one_multiplier(docs):
     sized = mixing.sizes(docs).cache()
     totals = sized.groupBy("source", "key").agg(F.sum("size").alias("source_size"))
