@@ -13,7 +13,7 @@ import os
 from collections.abc import Callable, Iterator
 from functools import cache
 from hashlib import sha256
-from itertools import chain, filterfalse
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -34,51 +34,69 @@ SEGMENT_CHARS = 500_000
 
 #: Code points below this have long had their letter and digit classes, so every library splits them alike.
 PLAIN_BELOW = "\u0250"
-#: Characters of a cached word at most, and characters after which the cache is emptied.
-CACHED_WORD, CACHE_CHARS = 32, 1_000_000
+#: Characters of a cached word at most, and characters after which room is made in the cache.
+CACHED_WORD, CACHE_CHARS = 32, 3_000_000
 
 
 class _Words:
     """Ids of words by an encoder of word lists, keeping those of short words.
 
-    The ids of all words lie in a row; a word is known by its place in the order of learning.
+    The ids of all words lie in a row; a word is known by its place in the order of learning. When the words held
+    are too many, those met again since the last time stay, unless they are most of them.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]]) -> None:
         self._encode = encode
-        self._clear()
-
-    def _clear(self) -> None:
-        self._places: dict[str, int] = {}
-        self._ids, self._ends, self._held = np.zeros(0, np.int32), np.zeros(0, np.int64), 0
+        self._hold([], np.zeros(0, np.int32), np.zeros(0, np.int64))
+
+    def _hold(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self._places = dict(zip(words, range(len(words))))
+        self._ids, self._ends, self._held = ids, np.cumsum(sizes), sum(map(len, words))
+        self._again = np.zeros(len(words), bool)
+
+    def _make_room(self) -> None:
+        stay = np.flatnonzero(self._again)
+        held = list(self._places)
+        words = [held[i] for i in stay.tolist()]
+        if 2 * sum(map(len, words)) > CACHE_CHARS:
+            stay, words = stay[:0], []
+        sizes = np.diff(self._ends, prepend=0)
+        self._hold(words, self._ids[np.repeat(np.isin(np.arange(len(sizes)), stay), sizes)], sizes[stay])
 
     def __call__(self, words: list[list[str]]) -> list[np.ndarray]:
         """The ids of each list of words."""
+        if not words:
+            return []
         if self._held > CACHE_CHARS:
-            self._clear()
-        new = list(filterfalse(self._places.__contains__, set().union(*words)))
+            self._make_room()
+        flat = list(chain.from_iterable(words))
+        place = np.fromiter(map(self._places.get, flat, repeat(-1)), np.int64, len(flat))
+        self._again[place[place >= 0]] = True
+        missing = np.flatnonzero(place < 0)
+        unknown = [flat[i] for i in missing.tolist()]
+        new = list(dict.fromkeys(unknown))
         # long words come last, so that they can be forgotten
         long = [w for w in new if len(w) > CACHED_WORD]
         if long:
             new = [w for w in new if len(w) <= CACHED_WORD] + long
         self._places.update(zip(new, range(len(self._ends), len(self._ends) + len(new))))
+        place[missing] = np.fromiter(map(self._places.__getitem__, unknown), np.int64, len(unknown))
         encoded = self._encode(new)
         sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
         added = np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes.sum()))
         ids, ends = np.concatenate([self._ids, added]), np.concatenate([self._ends, len(self._ids) + np.cumsum(sizes)])
         starts = np.concatenate([[0], ends])
-        found = []
-        for parts in words:
-            place = np.fromiter(map(self._places.__getitem__, parts), np.int64, len(parts))
-            size = ends[place] - starts[place]
-            at = np.repeat(starts[place] - _starts(size), size)
-            found.append(ids[at + np.arange(len(at))].astype(np.int64))
+        size = ends[place] - starts[place]
+        at = np.repeat(starts[place] - _starts(size), size)
+        found = ids[at + np.arange(len(at))].astype(np.int64)
+        upto = np.concatenate([[0], np.cumsum(size)])[np.cumsum([len(parts) for parts in words])]
         for word in long:
             del self._places[word]
         kept = len(ends) - len(long)
         self._ends, self._ids = ends[:kept].copy(), ids[: int(starts[kept])].copy()
+        self._again = np.concatenate([self._again, np.zeros(kept - len(self._again), bool)])
         self._held += sum(map(len, new)) - sum(map(len, long))
-        return found
+        return np.split(found, upto[:-1])
 
 
 def _plain(text: str) -> bool:

@@ -273,3 +273,20 @@ def test_too_many_template_words_are_refused(spark, docs, monkeypatch):
     monkeypatch.setattr(license_scan, "MOST_TEMPLATE_WORDS", 3)
     with pytest.raises(ValueError, match="words"):
         license_scan.license_report(docs)
+
+
+def test_words_met_again_stay_when_room_is_made(monkeypatch):
+    monkeypatch.setattr(token_alignment, "CACHE_CHARS", 40)
+    asked = []
+
+    def encode(words):
+        asked.extend(words)
+        return [[len(w), ord(w[-1])] for w in words]
+
+    known = token_alignment._Words(encode)
+    for k in range(40):
+        lists = [["often", f"rare{k}", "often"], [], ["y" * 50, "often"]]
+        out = known(lists)
+        assert [x.tolist() for x in out] == [[i for w in words for i in (len(w), ord(w[-1]))] for words in lists]
+    assert asked.count("often") == 1 and known([]) == []
+    assert known._held <= 2 * 40
