@@ -45,6 +45,8 @@ class Vocabulary:
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
         self.names = [str(i) for i in range(size)]
+        #: one object per id, as caches hold many
+        self.ids = list(range(size))
         self.bytes_to_id = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         found: dict[int, int] = {}
         for token, rank in self.ranks.items():
@@ -197,7 +199,7 @@ def encode_pieces(vocab: Vocabulary, pieces: list[bytes]) -> list[tuple[int, ...
         for start in range(0, len(members), step):
             some = members[start : start + step]
             for i, ids in zip(some, Forest(vocab, [pieces[i] for i in some], width).merge(), strict=True):
-                out[i] = tuple(ids)
+                out[i] = tuple(map(vocab.ids.__getitem__, ids))
     return out
 
 
