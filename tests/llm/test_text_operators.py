@@ -239,3 +239,10 @@ def test_word_statistics():
     text = "a b c a b c\n\nx\nx\n#$ z"
     assert perplexity.word_statistics(text) == (10, 11, 2, 1, 6)
     assert perplexity.word_statistics("") == (0, 0, 0, 0, 0)
+
+
+def test_cached_pieces_share_the_objects_of_their_ids():
+    vocab = byte_bpe.vocabulary(BYTE)
+    pieces = [f" qzx{i}vwkj".encode() for i in range(50)]
+    ids = [i for piece in byte_bpe.encode_pieces(vocab, pieces) for i in piece]
+    assert max(ids) > 256 and all(i is vocab.ids[i] for i in ids)
