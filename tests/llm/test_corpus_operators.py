@@ -150,6 +150,38 @@ def test_links_of_a_group_grow_with_its_size(spark, monkeypatch):
     assert max(made["links"]) <= 3 * 300
 
 
+def test_shingles_of_many_texts_are_those_of_each():
+    """Words of a batch are hashed together: by their bytes alone, whatever their length and place."""
+    rng = random.Random(12)
+    words = ["a", "b", "é", "\ud800", *("x" * n for n in (7, 8, 9, 16, 17, 24, 25, 32, 33, 34, 1000)), "x" * 15 + "y", "y" + "x" * 31]
+    gaps = [" ", "  ", "\t", "\n", "\r\n", "\x0b", "\x0c"]
+    texts = ["", "  ", "a", " A b", "a b c", "a B c d", "a b c d e", "a\x1cb a\u00a0b"]
+    texts += ["".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.randint(1, 60))) for _ in range(200)]
+    plain = []
+    for text in texts:
+        own = text.encode("utf-8", "surrogatepass").lower().split()
+        size = min(4, len(own))
+        plain.append({tuple(own[k : k + size]) for k in range(len(own) - size + 1)} if own else set())
+    found = list(setsketch.shingle_sets(texts, 4))
+    assert [len(f) for f in found] == [len(p) for p in plain]
+    assert all((f == setsketch.shingles(t, 4)).all() for f, t in zip(found, texts))
+    every = np.unique(np.concatenate(found))
+    assert len(every) == len(set().union(*plain))
+    for k in range(len(texts) - 1):
+        both, union = setsketch.jaccard(found[k], found[k + 1])
+        assert (both, union) == (len(plain[k] & plain[k + 1]), len(plain[k] | plain[k + 1]))
+
+
+def test_texts_are_taken_a_piece_at_a_time(monkeypatch):
+    texts = [f"one two three four five {k}" for k in range(50)]
+    whole = list(setsketch.shingle_sets(texts, 4))
+    sizes, real = [], setsketch._piece
+    monkeypatch.setattr(setsketch, "PIECE_BYTES", 100)
+    monkeypatch.setattr(setsketch, "_piece", lambda held, width: sizes.append(len(held)) or real(held, width))
+    assert all((a == b).all() for a, b in zip(setsketch.shingle_sets(iter(texts), 4), whole, strict=True))
+    assert sum(sizes) == 50 and max(sizes) <= 5
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(3)
     a, b = (np.unique(setsketch.mix(rng.integers(0, 1 << 60, n).astype(np.uint64))) for n in (300, 500))
